@@ -6,15 +6,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+US_TEXT = r"^\s*(\d{1,2})/(\d{1,2})/(\d{4})\s*$"
+ISO_TEXT = r"^\s*((?!0000)\d{4}-\d{1,2}-\d{1,2})\s*$"
+
+
 def parse_date(c: Column) -> Column:
     """Parse ISO ``yyyy-M-d`` or US ``M/d/yyyy`` text, value by value; anything else is NULL.
 
-    The separator decides which format is tried, so no value pays for a failed attempt.
+    US parts are put in ISO order and the shape is checked, so that the cast's own parser does
+    the work and no value pays for a failed formatter.
     """
-    text = F.regexp_replace(c, r"^\s+|\s+$", "")
-    return F.when(F.contains(text, F.lit("/")), F.try_to_date(text, "M/d/yyyy")).otherwise(
-        F.try_to_date(text, "yyyy-M-d")
-    )
+    in_order = F.regexp_replace(c, US_TEXT, "$3-$1-$2")
+    return F.nullif(F.regexp_extract(in_order, ISO_TEXT, 1), F.lit("")).try_cast("date")
 
 
 def snapshot_month(file_name: Column) -> Column:

@@ -5,12 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-NUMBER_TEXT = r"(?i)^\s*[+-]?(\d+\.?\d*(e[+-]?\d+)?|\.\d+(e[+-]?\d+)?|inf|infinity)\s*$"
+NUMBER_TEXT = r"(?i)^\s*([+-]?(?:\d+\.?\d*(?:e[+-]?\d+)?|\.\d+(?:e[+-]?\d+)?|inf|infinity))\s*$"
 
 
 def to_number(c: Column) -> Column:
-    """Text to double; anything that is not a number (including NaN) becomes NULL."""
-    return F.when(c.rlike(NUMBER_TEXT), F.regexp_replace(c, r"\s+", "").try_cast("double"))
+    """Text to double; anything that is not a number (including NaN) becomes NULL.
+
+    The text is used once only, so a costly expression behind it is not repeated, and what is
+    not a number never reaches the cast, where it would raise and catch an error per value.
+    """
+    return F.nullif(F.regexp_extract(c, NUMBER_TEXT, 1), F.lit("")).try_cast("double")
 
 
 def sql_round(c: Column, digits: int = 0) -> Column:

@@ -12,9 +12,6 @@ from ..functions import calendar_columns, sql_round
 from .keys import dense_key
 from .quality import first_per_key, holds
 
-ONE_MONTH = "interval 1 month"
-
-
 def day(value: str | Column) -> Column:
     """A day given as ISO text or as an expression (a scalar subquery, for example)."""
     return F.to_date(F.lit(value)) if isinstance(value, str) else value
@@ -43,8 +40,12 @@ def window_bounds(window: DataFrame) -> tuple[Column, Column]:
 
 def explode_months(df: DataFrame, first: str, last: str) -> DataFrame:
     """One row per calendar month touched by [first, last]; reversed or NULL spans give none."""
-    a, b = F.trunc(first, "MM"), F.trunc(last, "MM")
-    return df.withColumn("month_start", F.explode(F.when(a <= b, F.sequence(a, b, F.expr(ONE_MONTH)))))
+    month = F.trunc(first, "MM")
+    span = (F.year(last) - F.year(first)) * 12 + F.month(last) - F.month(first)
+    steps = F.when(span >= 0, F.sequence(F.lit(0), span))
+    return df.withColumn("_step", F.explode(steps)).withColumn("month_start", F.add_months(month, F.col("_step"))).drop(
+        "_step"
+    )
 
 
 def clip_stays(stays: DataFrame, start: str | Column, end: str | Column) -> DataFrame:
@@ -65,11 +66,32 @@ def clip_stays(stays: DataFrame, start: str | Column, end: str | Column) -> Data
 def monthly_census(
     stays: DataFrame, start: str | Column, end: str | Column, by: Sequence[str] = ("community_id",)
 ) -> DataFrame:
-    """Resident-days per month and group, from month pieces instead of single days."""
-    pieces = explode_months(clip_stays(stays, start, end), "first_day", "last_day")
-    upto = F.least(F.col("last_day"), F.last_day("month_start"))
-    days = F.datediff(upto, F.greatest("first_day", "month_start")) + 1
-    return pieces.groupBy("month_start", *by).agg(F.sum(days).alias("resident_days"))
+    """Resident-days per month and group.
+
+    A stay contributes two marks, its first day and the day after its last, however long it
+    is. They are added up per group and day (combined map-side), summed in time, and the
+    spans of constant census between marks are cut at month ends. Only the marks of a stay
+    are shuffled, and a group's window holds at most one row per day of the calendar.
+    """
+    marks = F.array(
+        F.struct(F.col("first_day").alias("_from"), F.lit(1).alias("_n")),
+        F.struct(F.date_add("last_day", 1).alias("_from"), F.lit(-1).alias("_n")),
+    )
+    daily = (
+        clip_stays(stays, start, end).select(*by, F.inline(marks)).groupBy(*by, "_from").agg(F.sum("_n").alias("_n"))
+    )
+    in_time = Window.partitionBy(*by).orderBy("_from")
+    spans = (
+        daily.withColumn("_held", F.sum("_n").over(in_time.rowsBetween(Window.unboundedPreceding, 0)))
+        .withColumn("_to", F.date_sub(F.lead("_from").over(in_time), 1))
+        .filter("_held > 0")
+    )
+    days = F.datediff(F.least("_to", F.last_day("month_start")), F.greatest("_from", "month_start")) + 1
+    return (
+        explode_months(spans, "_from", "_to")
+        .groupBy("month_start", *by)
+        .agg(F.sum(F.col("_held") * days).alias("resident_days"))
+    )
 
 
 def stay_days(stays: DataFrame, start: str | Column, end: str | Column) -> DataFrame:

@@ -56,17 +56,17 @@ def clean_residents(bronze: DataFrame) -> Cleaned:
     raw = bronze.withColumn("snapshot_month", snapshot_month(F.col("_source_file")))
     winners = contested_winners(raw, "resident_id", "snapshot_month", "community_id")
     horizon = F.last_day(raw.agg(F.max("snapshot_month")).scalar())
+    judged = raw.join(winners, ["resident_id", "snapshot_month"], "left").withColumns(
+        {"_loser": holds(F.struct(*LOAD_ORDER) != F.col("_winner")), "_horizon": horizon}
+    )
     typed = (
-        raw.join(winners, ["resident_id", "snapshot_month"], "left")
-        .withColumn("_loser", holds(F.struct(*LOAD_ORDER) != F.col("_winner")))
-        .withColumns(
+        judged.withColumns(
             {
                 "_dob": parse_date(F.col("dob")),
                 "_admit": parse_date(F.col("admit_date")),
                 "_out": parse_date(F.col("discharge_date")),
                 "_level": canonical(F.col("care_level"), model.CARE_LEVELS),
                 "_acuity": to_number(F.col("acuity_score")),
-                "_horizon": horizon,
             }
         )
         .withColumns(

@@ -67,8 +67,9 @@ CTE = {
         f"CAST(date_trunc('month', {SHIP}) AS DATE) AS snapshot_date FROM lineitem JOIN supplier ON s_suppkey = l_suppkey",
     ),
     "span": (
-        ["unit_month"],
-        "SELECT min(snapshot_date) AS window_start, last_day(max(snapshot_date)) AS window_end FROM unit_month",
+        [],
+        f"SELECT CAST(date_trunc('month', min({SHIP})) AS DATE) AS window_start, last_day(max({SHIP})) AS window_end "
+        "FROM lineitem",
     ),
     "days": (
         ["span"],

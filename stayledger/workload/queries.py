@@ -42,7 +42,7 @@ def query(build: Callable[[sh.Sample], DataFrame]):
 
 
 def window(s: sh.Sample):
-    return temporal.window_bounds(temporal.analysis_window(sh.units_monthly(s), "snapshot_date"))
+    return temporal.window_bounds(temporal.analysis_window(sh.shipping_months(s), "snapshot_date"))
 
 
 def census(s: sh.Sample) -> DataFrame:
@@ -341,7 +341,7 @@ def incremental_skip(s):
 
 @query
 def analysis_window(s):
-    return temporal.analysis_window(sh.units_monthly(s), "snapshot_date")
+    return temporal.analysis_window(sh.shipping_months(s), "snapshot_date")
 
 
 @query
@@ -796,7 +796,7 @@ def reconcile_counts(s):
 @query
 def reconcile_aggregates(s):
     _, layer, star = sample_tables(s)
-    bounds = temporal.analysis_window(sh.units_monthly(s), "snapshot_date")
+    bounds = temporal.analysis_window(sh.shipping_months(s), "snapshot_date")
     start, end = temporal.window_bounds(bounds)
     star["dim_resident"] = layer["residents"]
     segments = temporal.census_segments(layer["residents"], no_ranges(s), start, end)

@@ -101,6 +101,11 @@ def care_history(s: Sample) -> DataFrame:
     )
 
 
+def shipping_months(s: Sample) -> DataFrame:
+    """The snapshot months of the sample, one row per line item, for the analysis window."""
+    return s.lineitem.select(F.trunc(ship_day(), "MM").alias("snapshot_date"))
+
+
 def units_monthly(s: Sample) -> DataFrame:
     """A supplier is offered as a unit in every month it ships in."""
     place = s.supplier.select(
