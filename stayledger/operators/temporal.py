@@ -234,8 +234,9 @@ def scd2(history: DataFrame, residents: DataFrame) -> DataFrame:
 def as_of(facts: DataFrame, ranges: DataFrame, key: str, on: Column, take: Sequence[str]) -> DataFrame:
     """Left lookup of the range valid on a date: equal key, closed validity range.
 
-    The equal key keeps this a hash or sort-merge join with a residual range test, which the
-    adaptive skew split can cut on the fact side.
+    The equal key keeps this a hash or sort-merge join with a residual range test. A key that
+    holds a large share of the facts is cut on the fact side by the adaptive skew split; where
+    only counts are needed, count per key and day before calling this.
     """
     scd = ranges.select(
         F.col("resident_id").alias("_rid"),

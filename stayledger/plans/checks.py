@@ -16,6 +16,7 @@ from .. import model
 from ..operators import temporal
 from ..operators.constraints import orphan_rows
 
+# --- Fixed values: sections, actions and compared tables of the report -------------------
 ROWS_SECTION = "Row reconciliation"
 AGGREGATES_SECTION = "Aggregate reconciliation"
 RULES_SECTION = "Business rules"
@@ -37,6 +38,7 @@ SILVER_TO_GOLD = {
     "reviews": "fact_review",
     "shifts": "fact_shift",
 }
+# --- End of fixed values ------------------------------------------------------------------
 
 
 def figures(df: DataFrame, **values: Column) -> DataFrame:
@@ -213,7 +215,7 @@ def aggregate_checks(silver, gold, window: DataFrame) -> DataFrame:
 
 # --- business rules ---------------------------------------------------------------------
 
-# figure, check, severity, action
+# Fixed values: (figure, check, severity, action) per rule
 HARD_RULES = [
     ("lease_overlaps", "no overlapping leases per resident", "HIGH", RAISE),
     ("odd_occupancy", "no negative or >100% occupancy", "CRITICAL", FIX),

@@ -28,7 +28,25 @@ from ..operators.quality import (
     quarantine_rows,
 )
 
+# --- Fixed values: reasons and actions as the quarantine log records them -----------------
 REJECTED = "row rejected"
+DUPLICATE_IDENTITY = "duplicate identity in same snapshot (name/community conflict)"
+KEPT_USUAL = "row rejected; kept row matching modal community"
+LEVEL_CLEARED = "care_level set NULL"
+FIELD_CLEARED = "field set NULL, raise to client"
+DISCHARGE_CLEARED = "discharge_date set NULL (treated as active), raise to client"
+EARLY_DISCHARGE = "discharge before admit"
+ODD_SEVERITY = "severity out of range"
+UNIT_QUARANTINED = "row quarantined, raise to client"
+LEASE_REPEATED = "lease re-exported in move-out month"
+LEASE_DEDUPLICATED = "deduplicated on lease_id (kept latest export)"
+EARLY_MOVE_OUT = "move_out before move_in"
+NO_RATE = "hourly_rate not parseable for role"
+ODD_HOURS = "hours_worked out of range"
+ODD_RATING = "rating out of range"
+LEAD_CONFLICT = "conflicting duplicate lead across exports"
+LEAD_KEPT = "kept latest export's version, raise to client"
+# --- End of fixed values ------------------------------------------------------------------
 
 
 @dataclass(frozen=True)
@@ -87,29 +105,29 @@ def clean_residents(bronze: DataFrame) -> Cleaned:
         [
             Finding(
                 F.col("_loser"),
-                "duplicate identity in same snapshot (name/community conflict)",
-                "row rejected; kept row matching modal community",
+                DUPLICATE_IDENTITY,
+                KEPT_USUAL,
                 raw_columns,
             ),
             Finding(
                 stays_in & F.col("_no_level"),
                 F.concat(F.lit("unmappable care level '"), "care_level", F.lit("'")),
-                "care_level set NULL",
+                LEVEL_CLEARED,
                 ["care_level"],
             ),
             Finding(
                 stays_in & F.col("_odd_acuity"),
                 F.concat(F.lit("acuity_score "), whole(F.col("_acuity")), F.lit(f" outside {low}-{high}")),
-                "field set NULL, raise to client",
+                FIELD_CLEARED,
                 [F.col("_acuity").alias("acuity_score")],
             ),
             Finding(
                 stays_in & F.col("_future"),
                 F.concat(F.lit("future-dated discharge "), F.col("_out").cast("string")),
-                "discharge_date set NULL (treated as active), raise to client",
+                DISCHARGE_CLEARED,
                 [F.col("_out").alias("discharge_date")],
             ),
-            Finding(stays_in & F.col("_reversed"), "discharge before admit", REJECTED, raw_columns),
+            Finding(stays_in & F.col("_reversed"), EARLY_DISCHARGE, REJECTED, raw_columns),
         ],
     )
     mobility = F.col("mobility_status") if "mobility_status" in bronze.columns else F.lit(None).cast("string")
@@ -138,7 +156,7 @@ def clean_incidents(bronze: DataFrame) -> Cleaned:
         typed,
         "pcc_incidents",
         "incident_id",
-        [Finding(bad, "severity out of range", REJECTED, landed(bronze))],
+        [Finding(bad, ODD_SEVERITY, REJECTED, landed(bronze))],
     )
     rows = keep_last(typed.filter(~holds(bad)), ["incident_id"]).select(
         "incident_id",
@@ -177,7 +195,7 @@ def clean_units(bronze: DataFrame, communities=None) -> Cleaned:
             Finding(
                 F.lit(True),
                 F.concat(F.lit("unknown community "), F.coalesce("community_id", F.lit("None"))),
-                "row quarantined, raise to client",
+                UNIT_QUARANTINED,
                 landed(bronze),
             )
         ],
@@ -198,7 +216,7 @@ def clean_leases(bronze: DataFrame) -> Cleaned:
     )
     bad = holds(F.col("_out") < F.col("_in"))
     rejected = quarantine_log(
-        typed, "yardi_leases", "lease_id", [Finding(bad, "move_out before move_in", REJECTED, landed(bronze))]
+        typed, "yardi_leases", "lease_id", [Finding(bad, EARLY_MOVE_OUT, REJECTED, landed(bronze))]
     )
     # distinct keys, a NULL key counting as one, through partial aggregation
     surplus = (
@@ -210,8 +228,8 @@ def clean_leases(bronze: DataFrame) -> Cleaned:
     summary = quarantine_rows(
         surplus.select(
             F.concat(F.col("duplicates_removed").cast("string"), F.lit(" rows")).alias("business_key"),
-            F.lit("lease re-exported in move-out month").alias("reason"),
-            F.lit("deduplicated on lease_id (kept latest export)").alias("action_taken"),
+            F.lit(LEASE_REPEATED).alias("reason"),
+            F.lit(LEASE_DEDUPLICATED).alias("action_taken"),
             raw_json("duplicates_removed").alias("raw_value"),
         ),
         "yardi_leases",
@@ -242,8 +260,8 @@ def clean_shifts(bronze: DataFrame, logged_rates: int | None = None) -> Cleaned:
     )
     no_rate = F.col("_rate").isNull()
     bad_hours = F.col("_hours").isNull() | (F.col("_hours") <= 0) | (F.col("_hours") > model.MAX_SHIFT_HOURS)
-    rate_finding = Finding(no_rate, "hourly_rate not parseable for role", REJECTED, ["hourly_rate", "role"])
-    hours_finding = Finding(~no_rate & bad_hours, "hours_worked out of range", REJECTED, landed(bronze))
+    rate_finding = Finding(no_rate, NO_RATE, REJECTED, ["hourly_rate", "role"])
+    hours_finding = Finding(~no_rate & bad_hours, ODD_HOURS, REJECTED, landed(bronze))
     if logged_rates is None:
         log = quarantine_log(typed, "adp_shifts", "shift_id", [rate_finding, hours_finding])
     else:
@@ -268,7 +286,7 @@ def clean_reviews(bronze: DataFrame) -> Cleaned:
     typed = bronze.withColumn("_rating", to_number(F.col("rating")))
     bad = F.col("_rating").isNull() | outside(F.col("_rating"), model.RATING_RANGE)
     log = quarantine_log(
-        typed, "gbp_reviews", "review_id", [Finding(bad, "rating out of range", REJECTED, landed(bronze))]
+        typed, "gbp_reviews", "review_id", [Finding(bad, ODD_RATING, REJECTED, landed(bronze))]
     )
     rows = keep_last(typed.filter(~holds(bad)), ["review_id"]).select(
         "review_id",
@@ -294,8 +312,8 @@ def clean_leads(bronze: DataFrame) -> Cleaned:
     log = quarantine_rows(
         proof.select(
             F.col("lead_id").alias("business_key"),
-            F.lit("conflicting duplicate lead across exports").alias("reason"),
-            F.lit("kept latest export's version, raise to client").alias("action_taken"),
+            F.lit(LEAD_CONFLICT).alias("reason"),
+            F.lit(LEAD_KEPT).alias("action_taken"),
             "raw_value",
         ),
         "hubspot_leads",

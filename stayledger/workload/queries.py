@@ -158,8 +158,8 @@ def shift_rules():
     hours = to_number(F.col("hours_worked"))
     rate = rate_for_role(F.col("hourly_rate"), F.col("role"))
     return [
-        (rate.isNull(), "hourly_rate not parseable for role"),
-        (hours.isNull() | (hours <= 0) | (hours > model.MAX_SHIFT_HOURS), "hours_worked out of range"),
+        (rate.isNull(), silver.NO_RATE),
+        (hours.isNull() | (hours <= 0) | (hours > model.MAX_SHIFT_HOURS), silver.ODD_HOURS),
     ]
 
 
