@@ -269,7 +269,7 @@ def clean_shifts(bronze: DataFrame, logged_rates: int | None = None) -> Cleaned:
         log = quarantine_log(sample, "adp_shifts", "shift_id", [rate_finding]).unionByName(
             quarantine_log(typed, "adp_shifts", "shift_id", [hours_finding])
         )
-    rows = keep_last(typed.filter(~no_rate & ~holds(bad_hours)), ["shift_id"]).select(
+    rows = keep_last(typed.filter(~holds(bad_hours) & ~no_rate), ["shift_id"]).select(
         "shift_id",
         "community_id",
         "employee_id",
