@@ -2,4 +2,156 @@
 
 from __future__ import annotations
 
+from . import chat, decontaminate, licenses, urls
+from .queries import URL_RULES
+
 SQL: dict[str, str] = {}
+
+WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+def words(text: str) -> str:
+    return f"regexp_extract_all(translate(coalesce({text}, ''), '{urls.UPPER}', '{urls.LOWER}'), '{WORD}')"
+
+
+def texts(values) -> str:
+    return ", ".join("('" + "', '".join(v.replace("'", "''") for v in row) + "')" for row in values)
+
+
+SQL["op1_preferences"] = f"""
+WITH t AS (
+  SELECT conv_id, turn, min({{'role': coalesce(role, ''), 'text': coalesce(text, '')}}) AS said
+  FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL GROUP BY conv_id, turn
+), l AS (
+  SELECT conv_id, max(turn) AS last FROM t WHERE said.role = '{chat.ASSISTANT}' GROUP BY conv_id
+), reply AS (
+  SELECT conv_id, said.text AS text FROM t JOIN l USING (conv_id) WHERE turn = last
+), c AS (
+  SELECT conv_id AS p, turn, said FROM t JOIN l USING (conv_id) WHERE turn <= last
+), r AS (
+  SELECT conv_id AS p, turn, said FROM t JOIN l USING (conv_id) WHERE turn < last
+  UNION ALL
+  SELECT l.conv_id, last, {{'role': '{chat.ASSISTANT}', 'text': coalesce(reply.text, '')}}
+  FROM l LEFT JOIN reply ON reply.conv_id = xor(l.conv_id, 1::BIGINT)
+), pairs AS (
+  SELECT coalesce(c.p, r.p) AS p, coalesce(c.turn, r.turn) AS turn, c.said AS cs, r.said AS rs,
+         c.p IS NOT NULL AND r.p IS NOT NULL AND c.said.role = r.said.role AND c.said.text = r.said.text AS same
+  FROM c FULL JOIN r ON c.p = r.p AND c.turn = r.turn
+), fork AS (
+  SELECT p, min(turn) FILTER (NOT same) AS forked FROM pairs GROUP BY p
+), parts AS (
+  SELECT p, turn, 'prompt' AS part, cs AS said FROM pairs JOIN fork USING (p) WHERE forked IS NULL OR turn < forked
+  UNION ALL
+  SELECT p, turn, 'chosen', cs FROM pairs JOIN fork USING (p) WHERE turn >= forked AND cs IS NOT NULL
+  UNION ALL
+  SELECT p, turn, 'rejected', rs FROM pairs JOIN fork USING (p) WHERE turn >= forked AND rs IS NOT NULL
+), shown AS (
+  SELECT p, part, turn, said.role AS role, '<|' || said.role || '|>' || chr(10) || said.text || '<|end|>' || chr(10) AS segment FROM parts
+), placed AS (
+  SELECT *, CAST(sum(length(segment)) OVER (PARTITION BY p, part ORDER BY turn) AS BIGINT) AS e FROM shown
+)
+SELECT p AS pair_id, part, turn, role, segment, e - length(segment) AS start, e AS "end",
+       CASE WHEN part <> 'prompt' AND role = '{chat.ASSISTANT}' THEN e - length(segment) + length(role) + 5 END AS learn_from,
+       CASE WHEN part <> 'prompt' AND role = '{chat.ASSISTANT}' THEN e END AS learn_to
+FROM placed
+"""
+
+_PHRASES = [(label, phrase.split()) for phrase, label in licenses.PHRASES.items()]
+_STARTS = " UNION ALL ".join(
+    f"SELECT r, '{label}' AS label, i FROM d, unnest(range(1, len(w) + 1)) AS t(i) WHERE "
+    + " AND ".join(f"w[i + {k}] = '{word}'" for k, word in enumerate(parts))
+    for label, parts in _PHRASES
+)
+SQL["op4_licenses"] = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, {words("text")} AS w FROM documents
+), hits AS (
+  {_STARTS}
+), base AS (
+  SELECT r, count(*) AS n, min(i) - 1 AS lo, max(i) - 1 AS hi, list_sort(list_distinct(list(label))) AS labels FROM hits GROUP BY r
+), t AS (
+  SELECT DISTINCT name, unnest({words("body")}) AS word FROM (VALUES {texts(sorted(licenses.TEMPLATES.items()))}) AS v(name, body)
+), sizes AS (
+  SELECT name, count(*) AS n, ceil({licenses.CONTAINMENT} * count(*) - 1e-9) AS need FROM t GROUP BY name
+), blocks AS (
+  SELECT r, i, unnest(w[i : i + {licenses.BLOCK_WORDS - 1}]) AS word
+  FROM d, unnest(range(1, greatest(len(w) - {licenses.BLOCK_WORDS - licenses.BLOCK_STEP}, 1) + 1, {licenses.BLOCK_STEP})) AS x(i)
+), shared AS (
+  SELECT r, i, name, count(*) AS n FROM (SELECT DISTINCT r, i, word FROM blocks) JOIN t USING (word) GROUP BY r, i, name
+), found AS (
+  SELECT r, list_distinct(list(name)) AS names, max(shared.n / sizes.n) AS share
+  FROM shared JOIN sizes USING (name) WHERE shared.n >= need GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(base.n, 0) AS BIGINT) AS n_base,
+       CAST(lo AS BIGINT) AS first_word, CAST(hi AS BIGINT) AS last_word,
+       coalesce(array_to_string(base.labels, ','), '') AS base_labels,
+       coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(base.labels, []), coalesce(names, [])))), ','), '') AS labels,
+       CASE WHEN base.n > 0 THEN 1.0::DOUBLE ELSE coalesce(share, 0.0)::DOUBLE END AS score
+FROM d LEFT JOIN base USING (r) LEFT JOIN found USING (r)
+"""
+
+_LENGTH = f"least({decontaminate.WINDOW}, len(w))"
+SQL["op7_decontamination"] = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, {words("text")} AS w FROM documents
+), b AS (
+  SELECT item_id, {words("text")} AS w FROM benchmark
+), windows AS (
+  SELECT DISTINCT item_id, {_LENGTH} AS l, array_to_string(w[i : i + {_LENGTH} - 1], ' ') AS p
+  FROM b, unnest(range(1, len(w) - {_LENGTH} + 2)) AS x(i) WHERE len(w) > 0
+), lengths AS (
+  SELECT DISTINCT l FROM windows
+), places AS (
+  SELECT r, i, l, array_to_string(w[i : i + l - 1], ' ') AS p FROM d, lengths, unnest(range(1, len(w) - l + 2)) AS x(i) WHERE len(w) >= l
+), hits AS (
+  SELECT r, i, l, item_id FROM places JOIN windows USING (l, p)
+), hit AS (
+  SELECT r, count(DISTINCT place) AS n FROM hits, unnest(range(i, i + l)) AS x(place) GROUP BY r
+), items AS (
+  SELECT r, count(DISTINCT item_id) AS n, array_to_string(list_sort(list_distinct(list(item_id::VARCHAR))), ',') AS ids FROM hits GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(hit.n, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(items.n, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (r) LEFT JOIN items USING (r)
+"""
+
+SQL["op8_topk"] = """
+WITH v AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+  FROM v AS q JOIN v AS c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+_RULES = texts([(r.verdict, r.host, r.path) for r in URL_RULES])
+SQL["op10_urls"] = f"""
+WITH u AS (
+  SELECT row_number() OVER () AS r, page_id,
+         CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
+), parts AS (
+  SELECT r, page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{urls.UPPER}', '{urls.LOWER}') AS host,
+         regexp_extract(rest, '^[^/?#]*(/[^?#]*)', 1) AS path FROM u
+), rules AS (
+  SELECT verdict, rhost, rpath, rhost || rpath AS rule FROM (VALUES {_RULES}) AS v(verdict, rhost, rpath)
+), fits AS (
+  SELECT r, rule, verdict, row_number() OVER (PARTITION BY r ORDER BY length(rule) DESC, rule) AS place
+  FROM parts JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)
+), globs AS (
+  SELECT *, CASE
+    WHEN contains(host, 'spam') THEN CASE WHEN path = '' THEN '*spam*' ELSE '*spam*/**' END
+    WHEN contains(host, 'cheap-pills') THEN CASE WHEN path = '' THEN '*cheap-pills*' ELSE '*cheap-pills*/**' END
+    WHEN contains(host, 'casino') THEN CASE WHEN path = '' THEN '*casino*' ELSE '*casino*/**' END
+    WHEN ends_with(path, '.exe') THEN '*/**.exe'
+    WHEN ends_with(path, '.zip') THEN '*/**.zip' END AS matched
+  FROM parts
+)
+SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN matched IS NULL THEN 'allow' ELSE 'block' END) AS verdict,
+       coalesce(rule, matched) AS evidence
+FROM globs LEFT JOIN (SELECT * FROM fits WHERE place = 1) USING (r)
+"""
