@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator, Sequence
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -54,6 +57,26 @@ def clear_staged(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once in a session: functions that run there import it,
+    and a cluster's nodes need not have it installed."""
+    sc = spark.sparkContext
+    if getattr(sc, "_stayledger_shipped", False):
+        return
+    package = Path(__file__).resolve().parent.parent
+    archive = Path(tempfile.mkdtemp(prefix="stayledger-code-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    sc.addPyFile(str(archive))  # Spark hands the file to the executors
+    sc._stayledger_shipped = True
+
+
+def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType | str) -> DataFrame:
+    ship(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def append(
     df: DataFrame,
     inputs: Sequence[Column],
@@ -78,7 +101,7 @@ def append(
                 yield pa.RecordBatch.from_arrays([*batch.columns[:n], *out], names=arrow.names)
 
     ready = df.select(*[quoted(c) for c in kept], *[c.alias(f"__in{i}") for i, c in enumerate(inputs)])
-    return ready.mapInArrow(run, schema)
+    return map_batches(ready, run, schema)
 
 
 def text_bytes(column: Column) -> Column:

@@ -19,21 +19,22 @@ from collections.abc import Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import quoted, stage
+from .common import map_batches, quoted, stage
 from .tokens import encoder
 
 #: Tokens that a queue sends at a time.
 GRAIN = 512
 #: Queues of their own; the sources with the fewest tokens beyond that share one queue.
 QUEUES = 1024
-#: Bytes of ids in one output batch.
-BATCH_BYTES = 32 << 20
+#: Bytes of texts or ids that are worked on at once.
+BATCH_BYTES = 4 << 20
 
 
 class Rounds:
@@ -78,33 +79,35 @@ class Rounds:
         return out
 
 
-def token_table(docs: DataFrame, key: str, text: str, queue: str, tokenizer: str, end_id: int) -> DataFrame:
+def token_table(docs: DataFrame, key: str, text: str, queue: str, tokenizer: str, ranks: str | None, end_id: int) -> DataFrame:
     """key, source, part, start (in the part's tokens of that source), n and ids of every document."""
     kind = T.StructField("key", docs.schema[key].dataType)
     rest = [("source", T.StringType()), ("part", T.IntegerType()), ("start", T.LongType()), ("n", T.LongType()), ("ids", T.BinaryType())]
     schema = T.StructType([kind, *[T.StructField(n, t) for n, t in rest]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, part, ends = encoder(tokenizer), TaskContext.get().partitionId(), {}
+        encode, part, ends = encoder(tokenizer, ranks), TaskContext.get().partitionId(), {}
         close = np.array([end_id], encode.dtype).tobytes()
         width = encode.dtype.itemsize
-        for batch in batches:
-            ids = [x + close for x in encode.encode(batch.column(2).to_pylist())]
-            sources, starts, counts = batch.column(1).to_pylist(), [], [len(x) // width for x in ids]
-            for source, n in zip(sources, counts):
-                starts.append(ends.get(source, 0))
-                ends[source] = starts[-1] + n
-            columns = [pa.array([part] * len(ids), pa.int32()), pa.array(starts, pa.int64()), pa.array(counts, pa.int64()), pa.array(ids, pa.binary())]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *columns], names=schema.names)
+        for whole in batches:
+            for batch in sliced(whole, 2, BATCH_BYTES):
+                ids = [encode.encode(t.as_py()) + close for t in batch.column(2)]
+                sources, starts, counts = batch.column(1).to_pylist(), [], [len(x) // width for x in ids]
+                for source, n in zip(sources, counts):
+                    starts.append(ends.get(source, 0))
+                    ends[source] = starts[-1] + n
+                columns = [pa.array([part] * len(ids), pa.int32()), pa.array(starts, pa.int64()), pa.array(counts, pa.int64()), pa.array(ids, pa.binary())]
+                yield pa.RecordBatch.from_arrays([*batch.columns[:2], *columns], names=schema.names)
 
     source = F.coalesce(F.concat(F.lit("="), quoted(queue).cast("string")), F.lit(""))
     ready = docs.select(quoted(key).alias("key"), source.alias("source"), F.coalesce(quoted(text), F.lit("")).alias("text"))
-    return stage(ready.mapInArrow(run, schema), "packing-tokens")
+    return stage(map_batches(ready, run, schema), "packing-tokens")
 
 
 def pack(
     docs: DataFrame,
     tokenizer: str,
+    ranks: str | None = None,
     key: str = "doc_id",
     text: str = "text",
     queue: str = "source",
@@ -118,12 +121,13 @@ def pack(
     closing ``end_id`` included), ``ids`` (little-endian unsigned 32-bit numbers), ``doc_tokens``,
     ``source``, ``sequence_id`` and ``offset``.
 
-    ``targets`` gives the sources' proportions; a source that is not listed, and every source without
+    ``tokenizer`` is the path of a tokenizer's file, ``ranks`` that of the same vocabulary as ranks, if
+    there is one. ``targets`` gives the sources' proportions; a source that is not listed, and every source without
     ``targets``, gets its share of all tokens. A null source is a queue of its own. A null or empty
     text is the closing id alone. Repeated rows are packed each. An empty table gives no pieces.
     """
     spark = docs.sparkSession
-    tokens = token_table(docs, key, text, queue, tokenizer, end_id)
+    tokens = token_table(docs, key, text, queue, tokenizer, ranks, end_id)
     sums = tokens.groupBy("source", "part").agg(F.sum("n").alias("n"))
     by_source = sums.groupBy("source").agg(F.sum("n").alias("n"))
     largest = [(r.source, r.n) for r in by_source.orderBy(F.desc("n"), "source").limit(queues).collect()]
@@ -147,14 +151,11 @@ def pack(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rounds = Rounds(totals, weights, length, grain)
-        for batch in batches:
-            n = batch.column("n").to_numpy()
-            step = np.cumsum(n) * 4 // BATCH_BYTES
-            for rows in np.split(np.arange(len(n)), np.flatnonzero(np.diff(step)) + 1):
-                if len(rows):
-                    yield pieces(batch.slice(rows[0], len(rows)), rounds, length, arrow)
+        for whole in batches:
+            for batch in sliced(whole, whole.schema.get_field_index("ids"), BATCH_BYTES):
+                yield pieces(batch, rounds, length, arrow)
 
-    return ready.mapInArrow(run, schema)
+    return map_batches(ready, run, schema)
 
 
 def pieces(batch: pa.RecordBatch, rounds: Rounds, length: int, schema: pa.Schema) -> pa.RecordBatch:
@@ -194,6 +195,14 @@ def pieces(batch: pa.RecordBatch, rounds: Rounds, length: int, schema: pa.Schema
     )
 
 
+def sliced(batch: pa.RecordBatch, column: int, size: int) -> Iterator[pa.RecordBatch]:
+    """Runs of rows with about ``size`` bytes in a column."""
+    if batch.num_rows:
+        run = np.cumsum(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False).astype(np.int64)) // size
+        for rows in np.split(np.arange(batch.num_rows), np.flatnonzero(np.diff(run)) + 1):
+            yield batch.slice(rows[0], len(rows))
+
+
 def spread(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each i, counts[i] rows of (i, 0), (i, 1), ..."""
     owner = np.repeat(np.arange(len(counts)), counts)

@@ -31,10 +31,10 @@ def query(build: Callable[[SparkSession, str], DataFrame]):
     return build
 
 
-def tokenizer() -> str:
+def tokenizer() -> dict[str, str]:
     import public_tokenizers
 
-    return str(public_tokenizers.path("byte_bpe_50k.json"))
+    return {"tokenizer": str(public_tokenizers.path("byte_bpe_50k.json")), "ranks": str(public_tokenizers.path("byte_bpe_50k.tiktoken"))}
 
 
 @query
@@ -50,7 +50,7 @@ def op2_simhash(spark, folder):
 
 
 def packed(docs: DataFrame) -> DataFrame:
-    found = packing.pack(docs, tokenizer())
+    found = packing.pack(docs, **tokenizer())
     return found.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "source"
     )

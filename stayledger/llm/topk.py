@@ -24,7 +24,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import quoted, staged_root
+from .common import map_batches, quoted, staged_root
 
 #: Queries that are broadcast at once, and compared with a batch of candidates at once.
 BLOCK, TILE = 16384, 512
@@ -145,11 +145,11 @@ def top_k(
         sizes = np.array([len(r.v) for r in rows])
         by_size = {int(s): (np.flatnonzero(sizes == s), whole([rows[i].v for i in np.flatnonzero(sizes == s)], scale)) for s in np.unique(sizes)}
         sent = spark.sparkContext.broadcast((ids, by_size))
-        lists = candidates.mapInArrow(local_lists(sent, k, scale, segments, None), SCHEMA).distinct()
+        lists = map_batches(candidates, local_lists(sent, k, scale, segments, None), SCHEMA).distinct()
         kth = ranked(lists, k).where(F.col("rank") == k).select("query_id", "score").collect()
         cutoff = {r.query_id: r.score for r in kth}
         least = spark.sparkContext.broadcast(np.array([cutoff.get(int(i), np.iinfo(np.int64).min // 8) for i in ids], np.int64))
-        candidates.mapInArrow(local_lists(sent, k, scale, segments, least), SCHEMA).write.mode("append").parquet(path)
+        map_batches(candidates, local_lists(sent, k, scale, segments, least), SCHEMA).write.mode("append").parquet(path)
     return ranked(spark.read.schema(SCHEMA).parquet(path).distinct(), k)
 
 
