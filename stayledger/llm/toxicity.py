@@ -10,7 +10,7 @@ distance falls; the votes are calibrated on the examples themselves, each withou
 
 from __future__ import annotations
 
-import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -21,13 +21,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import WORD_TABLE, append, fold, quoted, slices, text_bytes
+from .common import WORD_TABLE, append, fold, map_batches, quoted, slices, text_bytes
 
 #: Labelled examples taken of each class, and terms of the vocabulary.
 PER_CLASS, TERMS = 1500, 512
-#: A term must occur in this many examples of the class, and this many times as often as in the other.
-LEAST_EXAMPLES, LEAST_RATIO = 3, 4.0
-STEM = 5
+#: A term must occur in this share of the toxic examples, but in no fewer than so many, and in so many
+#: times the share of the others that have it.
+LEAST_SHARE, LEAST_EXAMPLES, LEAST_RATIO = 0.02, 3, 4.0
+#: Letters of a word's beginning, and words without a known term that count as one more term.
+STEM, OTHER_WORDS = 5, 30
 BLOCK, NEIGHBOURS, EVIDENCE = 64, 15, 3
 #: Weight, in votes, of the share of toxic rows among all labelled ones.
 PRIOR_VOTES = 0.5
@@ -46,20 +48,25 @@ def term_counts(text: bytes) -> Counter[bytes]:
 
 
 def known_counts(text: bytes, vocabulary: dict[bytes, int]) -> dict[int, int]:
-    """term_counts, for the vocabulary only."""
+    """term_counts for the vocabulary; every OTHER_WORDS words without a known term count as one more
+    term, the last, so that a text's length has its share in its direction."""
     words: Counter[bytes] = Counter()
     for part in slices(text.translate(WORD_TABLE)):
         words.update(part.split())
     out: dict[int, int] = {}
-    get = vocabulary.get
+    other, get = 0, vocabulary.get
     for word, n in words.items():
-        at = get(word)
-        if at is not None:
-            out[at] = out.get(at, 0) + n
-        if len(word) > STEM:
-            at = get(b"^" + word[:STEM])
-            if at is not None:
-                out[at] = out.get(at, 0) + n
+        whole = get(word)
+        stem = get(b"^" + word[:STEM]) if len(word) > STEM else None
+        if whole is None and stem is None:
+            other += n
+        else:
+            if whole is not None:
+                out[whole] = out.get(whole, 0) + n
+            if stem is not None:
+                out[stem] = out.get(stem, 0) + n
+    if other:
+        out[len(vocabulary)] = -(-other // OTHER_WORDS)
     return out
 
 
@@ -172,21 +179,22 @@ def vocabulary_of(texts: DataFrame) -> list[bytes]:
                 if found:
                     yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), pa.array([y] * len(found), pa.int32())], names=["term", "y"])
 
+    texts = texts.dropDuplicates(["text", "y"])  # copies say nothing new
     sizes = {r.y: r.n for r in texts.groupBy("y").agg(F.count("*").alias("n")).collect()}
     if not sizes.get(1):
         return []
-    counted = texts.select("text", "y").mapInArrow(terms, "term binary, y int").groupBy("term").agg(F.sum("y").alias("toxic"), F.count("*").alias("n"))
+    counted = map_batches(texts.select("text", "y"), terms, "term binary, y int").groupBy("term").agg(F.sum("y").alias("toxic"), F.count("*").alias("n"))
     share = F.col("toxic") / sizes[1]
     other = (F.col("n") - F.col("toxic") + 0.5) / (sizes.get(0, 0) + 1)
     gain = F.col("toxic") * F.log(share / other)
-    chosen = counted.where((F.col("toxic") >= LEAST_EXAMPLES) & (share >= LEAST_RATIO * other)).orderBy(gain.desc(), "term").limit(TERMS)
+    chosen = counted.where((F.col("toxic") >= max(LEAST_EXAMPLES, LEAST_SHARE * sizes[1])) & (share >= LEAST_RATIO * other)).orderBy(gain.desc(), "term").limit(TERMS)
     return [bytes(r.term) for r in chosen.select("term").collect()]
 
 
 def frequencies(docs: DataFrame, text: str, vocabulary: dict[bytes, int]) -> tuple[np.ndarray, int]:
     """In how many of all documents each term occurs, and the number of documents. Each task sends one
     row per term."""
-    size = len(vocabulary)
+    size = len(vocabulary) + 1  # the last: any other word
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, rows = np.zeros(size + 1, np.int64), 0
@@ -197,7 +205,7 @@ def frequencies(docs: DataFrame, text: str, vocabulary: dict[bytes, int]) -> tup
         found[size] = rows
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(size + 1), pa.int32()), pa.array(found, pa.int64())], names=["at", "n"])
 
-    counted = docs.select(text_bytes(quoted(text))).mapInArrow(count, "at int, n bigint").groupBy("at").agg(F.sum("n").alias("n"))
+    counted = map_batches(docs.select(text_bytes(quoted(text))), count, "at int, n bigint").groupBy("at").agg(F.sum("n").alias("n"))
     out = np.zeros(size + 1, np.int64)
     for r in counted.collect():
         out[r["at"]] = r.n
@@ -225,10 +233,11 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
 
     pair = [T.StructField("terms", T.ArrayType(T.IntegerType())), T.StructField("counts", T.ArrayType(T.LongType()))]
     rows = append(texts, [F.col("text")], T.StructType(pair), make).select("id", "y", "terms", "counts").dropDuplicates(["id"]).collect()
-    rows.sort(key=lambda r: (tuple(r.terms[:1]), -r.y, r.id))  # neighbours in the index share a term
+    # neighbours in the index share a term; labels have no say in the order, as it decides ties
+    rows.sort(key=lambda r: (tuple(r.terms[:1]), zlib.crc32(str(r.id).encode()), r.id))
     weights = {y: sizes.get(y, 0) / max(1, sum(r.y == y for r in rows)) for y in (0, 1)}
     total = max(1, sum(sizes.values()))
-    vectors = np.zeros((len(rows), len(terms)))
+    vectors = np.zeros((len(rows), len(terms) + 1))
     index = Index([r.id for r in rows], np.array([r.y for r in rows]), np.array([weights[r.y] for r in rows]) / max(weights.values()), vectors)
     model = Model(vocabulary, idf, index, sizes.get(1, 0) / total)
     for i, r in enumerate(rows):
