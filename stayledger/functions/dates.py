@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .numbers import SPACE
 
-US_TEXT = r"^\s*(\d{1,2})/(\d{1,2})/(\d{4})\s*$"
-ISO_TEXT = r"^\s*((?!0000)\d{4}-\d{1,2}-\d{1,2})\s*$"
+US_TEXT = rf"^{SPACE}*(\d{{1,2}})/(\d{{1,2}})/(\d{{4}}){SPACE}*\z"
+ISO_TEXT = rf"^{SPACE}*((?!0000)\d{{4}}-\d{{1,2}}-\d{{1,2}}){SPACE}*\z"
 
 
 def parse_date(c: Column) -> Column:

@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-NUMBER_TEXT = r"(?i)^\s*([+-]?(?:\d+\.?\d*(?:e[+-]?\d+)?|\.\d+(?:e[+-]?\d+)?|inf|infinity))\s*$"
+# whitespace of any script, with the separators that text tools strip
+SPACE = r"[\s\x1C-\x1F\x85\p{Z}]"
+NUMBER_TEXT = rf"(?i)^{SPACE}*([+-]?(?:\d+\.?\d*(?:e[+-]?\d+)?|\.\d+(?:e[+-]?\d+)?|inf|infinity)){SPACE}*\z"
+# from here on doubles have no fraction
+WHOLE_FROM = 2.0**53
 
 
 def to_number(c: Column) -> Column:
@@ -22,12 +26,16 @@ def sql_round(c: Column, digits: int = 0) -> Column:
 
     Spark's own ``round`` works on the decimal rendering of a double, so 1.005 becomes
     1.01; SQL engines that scale the binary value give 1.00. Totals are compared on the latter.
+    All steps stay in doubles; values so large that they have no fraction, infinities included,
+    come back as they are.
     """
     scale = float(10**digits)
-    scaled = F.abs(c.cast("double")) * scale
-    whole = F.floor(scaled)
+    value = c.cast("double")
+    scaled = F.abs(value) * scale
+    near = F.rint(scaled)
+    whole = F.when(near > scaled, near - 1).otherwise(near)
     rounded = F.when(scaled - whole >= 0.5, whole + 1).otherwise(whole) / F.lit(scale)
-    return F.when(c < 0, -rounded).otherwise(rounded)
+    return F.when(~(scaled < WHOLE_FROM), value).when(value < 0, -rounded).otherwise(rounded)
 
 
 def half_even(c: Column, digits: int) -> Column:

@@ -8,13 +8,20 @@ from itertools import chain
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..model import RAW_VALUE_CHARS
-from .numbers import to_number
+from .numbers import SPACE, to_number
+
+
+# an entry is a quoted role, a colon, and a number, a word or a quoted text
+_VALUE = r"""[^,{}'"]+|'[^']*'|"[^"]*\""""
+RATE_ENTRY = rf"""(['"])([^'"]*)\1\s*:\s*({_VALUE})"""
+_ENTRY = rf"""\s*(?:'[^']*'|"[^"]*")\s*:\s*(?:{_VALUE})"""
+RATE_MAP = rf"^{SPACE}*\{{{_ENTRY}(?:,{_ENTRY})*,?\s*\}}{SPACE}*\z"
+QUOTES = r"""^\s*['"]|['"]\s*$"""
 
 
 def strip(c: Column) -> Column:
     """Remove leading and trailing whitespace of any kind (``trim`` only removes blanks)."""
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    return F.regexp_replace(c, rf"^{SPACE}+|{SPACE}+\z", "")
 
 
 def canonical(c: Column, spellings: Mapping[str, str]) -> Column:
@@ -24,12 +31,18 @@ def canonical(c: Column, spellings: Mapping[str, str]) -> Column:
 
 
 def rate_for_role(rate_text: Column, role: Column) -> Column:
-    """A rate given either as a plain number or as ``{'role': rate, ...}`` text keyed by role."""
-    per_role = F.from_json(rate_text, "map<string,string>")
-    return F.coalesce(to_number(rate_text), to_number(F.try_element_at(per_role, role)))
+    """A rate given either as a plain number or as ``{'role': rate, ...}`` text keyed by role.
+
+    The map's entries are read one by one: other roles may have no usable rate (``None``), a comma
+    may follow the last entry, and of entries with the same role the last one counts.
+    """
+    entries = F.when(F.regexp_like(rate_text, F.lit(RATE_MAP)), rate_text)
+    roles = F.reverse(F.regexp_extract_all(entries, F.lit(RATE_ENTRY), F.lit(2)))
+    rates = F.reverse(F.regexp_extract_all(entries, F.lit(RATE_ENTRY), F.lit(3)))
+    own = F.try_element_at(rates, F.nullif(F.array_position(roles, role), F.lit(0)).cast("int"))
+    return F.coalesce(to_number(rate_text), to_number(F.regexp_replace(own, QUOTES, "")))
 
 
 def raw_json(*columns) -> Column:
-    """The original values as JSON text, NULL fields kept, cut to the length the log keeps."""
-    text = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
-    return F.substring(text, 1, RAW_VALUE_CHARS)
+    """The original values as JSON text, whole, NULL fields kept."""
+    return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})

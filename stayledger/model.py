@@ -36,7 +36,6 @@ ACUITY_RANGE = (1, 10)
 SEVERITY_RANGE = (1, 5)
 RATING_RANGE = (1, 5)
 MAX_SHIFT_HOURS = 16
-RAW_VALUE_CHARS = 2000
 
 DEFAULT_WINDOW = ("2025-01-01", "2025-06-30")
 CALENDAR_RANGE = ("2020-01-01", "2026-12-31")

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import raw_json
-from ..model import QUARANTINE_COLUMNS, RAW_VALUE_CHARS
+from ..model import QUARANTINE_COLUMNS
 
 LOAD_ORDER = ("_source_file", "_row_seq")
 
@@ -76,21 +76,10 @@ def conflicting_keys(df: DataFrame, keys: Sequence[str], payload: Sequence[str])
     )
 
 
-def evidence(df: DataFrame, key: str, fields: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Per key, its rows' ``fields`` as a JSON list cut to the log's text length.
-
-    Each record spends at least its field names and punctuation, so only the leading records
-    can reach the kept prefix: taking that many per key gives the same text as taking all.
-    """
-    least = sum(len(f) + len('"":,') for f in fields) + len("{}")
-    enough = RAW_VALUE_CHARS // least + 1
-    leading = first_per_key(df, [key], [F.col(c).asc_nulls_last() for c in order], enough)
-    record = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], *fields)
-    listed = F.transform(
-        F.array_sort(F.collect_list(record)), lambda r: F.struct(*[r[f].alias(f) for f in fields])
-    )
-    text = F.to_json(listed, {"ignoreNullFields": "false"})
-    return leading.groupBy(key).agg(F.substring(text, 1, RAW_VALUE_CHARS).alias("raw_value"))
+def evidence(df: DataFrame, key: str, fields: Sequence[str]) -> DataFrame:
+    """One row per record: its key and its ``fields`` as JSON text, whole. Nothing is gathered per
+    key, so a key with very many records costs no task more than others."""
+    return df.select(key, raw_json(*fields).alias("raw_value"))
 
 
 def most_frequent(df: DataFrame, key: str, value: str, name: str) -> DataFrame:

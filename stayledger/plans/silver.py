@@ -247,11 +247,7 @@ def clean_leases(bronze: DataFrame) -> Cleaned:
     return Cleaned(rows, summary.unionByName(rejected))
 
 
-def clean_shifts(bronze: DataFrame, logged_rates: int | None = None) -> Cleaned:
-    """``logged_rates`` limits the log of unusable rates to the first rows in load order.
-
-    All such rows are rejected either way; without a limit all of them are logged too.
-    """
+def clean_shifts(bronze: DataFrame) -> Cleaned:
     typed = bronze.withColumns(
         {
             "_rate": rate_for_role(F.col("hourly_rate"), F.col("role")),
@@ -262,13 +258,7 @@ def clean_shifts(bronze: DataFrame, logged_rates: int | None = None) -> Cleaned:
     bad_hours = F.col("_hours").isNull() | (F.col("_hours") <= 0) | (F.col("_hours") > model.MAX_SHIFT_HOURS)
     rate_finding = Finding(no_rate, NO_RATE, REJECTED, ["hourly_rate", "role"])
     hours_finding = Finding(~no_rate & bad_hours, ODD_HOURS, REJECTED, landed(bronze))
-    if logged_rates is None:
-        log = quarantine_log(typed, "adp_shifts", "shift_id", [rate_finding, hours_finding])
-    else:
-        sample = typed.filter(no_rate).orderBy(*LOAD_ORDER).limit(logged_rates)
-        log = quarantine_log(sample, "adp_shifts", "shift_id", [rate_finding]).unionByName(
-            quarantine_log(typed, "adp_shifts", "shift_id", [hours_finding])
-        )
+    log = quarantine_log(typed, "adp_shifts", "shift_id", [rate_finding, hours_finding])
     rows = keep_last(typed.filter(~holds(bad_hours) & ~no_rate), ["shift_id"]).select(
         "shift_id",
         "community_id",
@@ -307,7 +297,6 @@ def clean_leads(bronze: DataFrame) -> Cleaned:
         bronze.join(disputed, "lead_id", "left_semi"),
         "lead_id",
         ["community_id", "status", "_source_file"],
-        LOAD_ORDER,
     )
     log = quarantine_rows(
         proof.select(
@@ -344,8 +333,3 @@ CLEANERS = {
 # silver tables with one row per entity, taken from a monthly table's cleaner
 CURRENT_TABLES = {"residents": "residents_monthly", "units": "units_monthly"}
 
-
-def rejected_sample(rejects: DataFrame, order: list[Column], n: int) -> DataFrame:
-    """The first ``n`` rejects, for a report that shows a sample."""
-    return rejects.orderBy(*order).limit(n)
-

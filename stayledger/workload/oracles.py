@@ -347,9 +347,9 @@ CTE = {
         ["raw_lead"],
         "SELECT lead_id AS business_key, 'conflicting duplicate lead across exports' AS reason, "
         "'kept latest export''s version, raise to client' AS action_taken, "
-        "substr(CAST(to_json(list({'community_id': community_id, 'status': status, '_source_file': f} ORDER BY f, seq)) "
-        "AS VARCHAR), 1, 2000) AS raw_value FROM raw_lead GROUP BY lead_id "
-        "HAVING count(DISTINCT (community_id, tour_date, deposit_date, status)) > 1",
+        "CAST(to_json({'community_id': community_id, 'status': status, '_source_file': f}) AS VARCHAR) AS raw_value "
+        "FROM raw_lead WHERE lead_id IN (SELECT lead_id FROM raw_lead GROUP BY lead_id "
+        "HAVING count(DISTINCT (community_id, tour_date, deposit_date, status)) > 1)",
     ),
     "full_log": (
         ["resident_log", "incident_log", "unit_log", "lease_log", "shift_log", "review_log", "lead_log"],
@@ -441,9 +441,9 @@ oracle(
 )
 oracle(
     "raw_row_json",
-    "SELECT doc_id, substr('{\"doc_id\":' || doc_id || ',\"lang\":' || "
-    "CASE WHEN lang <> 'en' THEN '\"' || lang || '\"' ELSE 'null' END || ',\"source\":\"' || source || '\"}', 1, 2000) "
-    "AS raw_value FROM documents",
+    "SELECT doc_id, '{\"doc_id\":' || doc_id || ',\"lang\":' || "
+    "CASE WHEN lang <> 'en' THEN '\"' || lang || '\"' ELSE 'null' END || ',\"source\":\"' || source || '\",\"text\":' || "
+    "CAST(to_json(text) AS VARCHAR) || '}' AS raw_value FROM documents",
 )
 oracle(
     "snapshot_from_file_name",
@@ -493,9 +493,9 @@ oracle(
 )
 oracle(
     "conflicting_duplicates",
-    "SELECT l_orderkey, substr(CAST(to_json(list({'l_returnflag': l_returnflag, 'l_linestatus': l_linestatus, "
-    "'l_partkey': l_partkey} ORDER BY l_partkey, l_suppkey, l_linenumber, l_returnflag, l_linestatus)) AS VARCHAR), 1, 2000) "
-    "AS raw_value FROM lineitem GROUP BY l_orderkey HAVING count(DISTINCT l_returnflag || l_linestatus) > 1",
+    "SELECT l_orderkey, CAST(to_json({'l_returnflag': l_returnflag, 'l_linestatus': l_linestatus, 'l_partkey': l_partkey}) "
+    "AS VARCHAR) AS raw_value FROM lineitem WHERE l_orderkey IN (SELECT l_orderkey FROM lineitem "
+    "GROUP BY l_orderkey HAVING count(DISTINCT l_returnflag || l_linestatus) > 1)",
 )
 oracle(
     "most_frequent_value",
@@ -518,11 +518,6 @@ oracle(
     "SELECT * FROM unit_month WHERE snapshot_date = (SELECT max(snapshot_date) FROM unit_month)",
     "unit_month",
 )
-oracle(
-    "reject_sample",
-    "SELECT shift_id, employee_id, reason FROM judged_shift WHERE reason IS NOT NULL ORDER BY f, seq, shift_id LIMIT 50",
-    "judged_shift",
-)
 
 # --- keys and joins -----------------------------------------------------------------------
 

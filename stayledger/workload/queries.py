@@ -116,11 +116,9 @@ def rounding_rules(s):
 
 @query
 def raw_row_json(s):
-    """Landed values as JSON text with NULL fields kept and the length limit applied."""
-    return s.documents.select(
-        "doc_id",
-        raw_json("doc_id", F.when(F.col("lang") != "en", F.col("lang")).alias("lang"), "source").alias("raw_value"),
-    )
+    """Landed values as JSON text, whole, with NULL fields kept."""
+    lang = F.when(F.col("lang") != "en", F.col("lang")).alias("lang")
+    return s.documents.select("doc_id", raw_json("doc_id", lang, "source", "text").alias("raw_value"))
 
 
 @query
@@ -220,7 +218,6 @@ def conflicting_duplicates(s):
         rows.join(disputed, "l_orderkey", "left_semi"),
         "l_orderkey",
         ["l_returnflag", "l_linestatus", "l_partkey"],
-        ["l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus"],
     )
 
 
@@ -250,14 +247,6 @@ def latest_snapshot_global(s):
     return keys.latest_snapshot(sh.units_monthly(s), "snapshot_date")
 
 
-@query
-def reject_sample(s):
-    """The first fifty rejects in load order, as the capped log shows them."""
-    _, bad = quality.split_rejects(sh.raw_shifts(s), shift_rules())
-    order = [F.col(c) for c in ("_source_file", "_row_seq", "shift_id")]
-    return silver.rejected_sample(bad, order, 50).select("shift_id", "employee_id", F.col("_reason").alias("reason"))
-
-
 # --- keys and joins -----------------------------------------------------------------------
 
 

@@ -231,14 +231,12 @@ def test_rerun_and_corrections(spark, tmp_path):
     assert bronze.read_bronze(spark, warehouse, "pcc_incidents").count() == 4
 
 
-def test_limited_rate_log(rows):
+def test_all_unusable_rates_are_logged(rows):
     header = "shift_id string, community_id string, employee_id string, role string, shift_date string, " \
              "hours_worked string, hourly_rate string, _source_file string, _row_seq long"
     bad = [(f"S{i}", "C001", "E", "Cook", "2025-01-01", "8", "?", "adp_shifts_2025_01.csv", i) for i in range(70)]
-    landed = rows(bad, header)
-    assert silver.clean_shifts(landed).quarantine.count() == 70
-    limited = silver.clean_shifts(landed, logged_rates=50)
-    assert limited.quarantine.count() == 50 and limited.rows.count() == 0
+    cleaned = silver.clean_shifts(rows(bad, header))
+    assert cleaned.quarantine.count() == 70 and cleaned.rows.count() == 0
 
 
 def test_strict_run_stops_on_broken_references(spark, tmp_path):

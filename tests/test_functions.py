@@ -31,9 +31,10 @@ def results(rows, values, expression, kind="string"):
 
 def test_parse_date(rows):
     texts = ["2025-01-05", "2025-1-5", " 3/4/2025\t", "03/04/2025", "2025-02-30", "13/01/2025", "25-01-01",
-             "2025-01-01x", "2025-01-01 00:00", "", "n/a", None]
+             "2025-01-01x", "2025-01-01 00:00", "", "n/a", None, "\u00a02025-01-05\u3000", "\x1c3/4/2025\x85"]
     assert results(rows, texts, parse_date) == [
-        dt.date(2025, 1, 5), dt.date(2025, 1, 5), dt.date(2025, 3, 4), dt.date(2025, 3, 4), *[None] * 8
+        dt.date(2025, 1, 5), dt.date(2025, 1, 5), dt.date(2025, 3, 4), dt.date(2025, 3, 4), *[None] * 8,
+        dt.date(2025, 1, 5), dt.date(2025, 3, 4),
     ]
 
 
@@ -52,10 +53,12 @@ def test_to_number(rows):
 
 def test_rate_for_role(rows):
     texts = [("{'RN': 46, 'Cook': 16}", "RN"), ("{'RN': '46.5'}", "RN"), ("{'RN': 46}", "Cook"), ("18.5", "RN"),
-             ("NaN", "RN"), ("?", "RN"), (None, "RN"), ("{'RN': 46}", None)]
+             ("NaN", "RN"), ("?", "RN"), (None, "RN"), ("{'RN': 46}", None), ("{'RN': 38.5, 'CNA': None}", "RN"),
+             ("{'RN': 38.5, 'CNA': None}", "CNA"), ("{'RN': 38.5,}", "RN"), ("{'RN': 1, 'RN': 2}", "RN"), ("{'RN': 1", "RN"),
+             ('\u00a0{"RN" : "7", \'LPN\':8 } ', "RN"), ("\u00a012\u2003", "RN"), ("{'RN': 1 'LPN': 2}", "RN"), ("{}", "RN")]
     df = rows([(i, *t) for i, t in enumerate(texts)], "i int, t string, role string")
     found = [r[1] for r in df.select("i", rate_for_role(F.col("t"), F.col("role"))).orderBy("i").collect()]
-    assert found == [46.0, 46.5, None, 18.5, None, None, None, None]
+    assert found == [46.0, 46.5, None, 18.5, None, None, None, None, 38.5, None, 38.5, 2.0, None, 7.0, 12.0, None, None]
 
 
 def test_rounding(rows):
@@ -64,6 +67,9 @@ def test_rounding(rows):
         1.0, 0.28, 2.68, -1.0, 0.13, 2.5, -2.5, None
     ]
     assert results(rows, values, lambda c: half_even(c, 2), "double")[4] == 0.12
+    huge = [1e17, -1e17, 9.2e16, float(2**53) + 2, math.inf, -math.inf, 1e308, 0.0]
+    assert results(rows, huge, lambda c: sql_round(c, 2), "double") == huge
+    assert results(rows, [math.inf, 1e17, 12.345], lambda c: to_decimal(c, 10, 2), "double")[:2] == [None, None]
     assert results(rows, [2.5, 3.5, 7.6, -2.5], to_int, "double") == [2, 4, 8, -2]
     assert [float(v) if v is not None else None for v in results(rows, [1.005, 1e12], lambda c: to_decimal(c, 10, 2), "double")] == [1.0, None]
 
@@ -87,7 +93,7 @@ def test_ratio(rows):
 
 def test_raw_json(rows):
     df = rows([("x" * 3000, None)], "a string, b string")
-    assert len(df.select(raw_json("a", "b")).first()[0]) == model.RAW_VALUE_CHARS
+    assert json.loads(df.select(raw_json("a", "b")).first()[0]) == {"a": "x" * 3000, "b": None}
     assert json.loads(rows([("x", None)], "a string, b string").select(raw_json("a", "b")).first()[0]) == {"a": "x", "b": None}
 
 
