@@ -134,7 +134,7 @@ def execute(run: Run, folder: str, export_to: str | None = None, strict: bool =
     if export_to is not None:
         views = [(name, kpi.in_display_order(df, name)) for name, df in frames.items()]
         facts = [(n, df.drop("month_start") if n == "fact_resident_day" else df) for n, df in star.items()]
-        export_csv([*facts, *views], export_to, small=frames)
+        export_csv([*facts, *views], export_to)
     return result
 
 

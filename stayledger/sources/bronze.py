@@ -96,43 +96,43 @@ def read_bronze(spark: SparkSession, warehouse: str, table: str) -> DataFrame:
 
 
 def land(spark: SparkSession, folder: str, warehouse: str, batch_id: str) -> Landing:
-    """Land the new and changed files of a folder.
+    """Land the new and changed files of a folder."""
+    return land_files(spark, files.listing(spark, folder), warehouse, batch_id)
 
-    Only file metadata (names, hashes, headers) passes through the driver.
+
+def land_files(spark: SparkSession, found: DataFrame, warehouse: str, batch_id: str) -> Landing:
+    """Land those of the listed files whose content is new.
+
+    One pass over the files as text gives their digests and headers. What passes through the driver is
+    one small row per file, as Spark lists files there anyway. The rows are written before the registry
+    entries; a row that doesn't fit its header stops the run before any entry is made.
     """
-    found = files.listing(spark, folder)
-    hashed = found.join(files.fingerprints(spark, folder), "file_name").select(
-        "file_name", "path", "table_name", "status", "file_hash"
-    )
-    entries = registry(spark, warehouse)
-    state = hashed.join(
-        entries.select("file_name", "file_hash", F.lit(True).alias("_seen")), ["file_name", "file_hash"], "left"
-    ).collect()
-    report = Landing(
-        skipped=sorted(r.file_name for r in state if r.status == "known" and r["_seen"]),
-        ignored=sorted(r.file_name for r in state if r.status == "ignored"),
-    )
-    fresh = [r for r in state if r.status == "known" and not r["_seen"]]
+    listed = found.select("file_name", "path", "table_name", "status").collect()
+    paths = {r.file_name: r.path for r in listed if r.status == "known"}
+    table_of = {r.file_name: r.table_name for r in listed if r.status == "known"}
+    ignored = sorted(r.file_name for r in listed if r.status == "ignored")
+    if not paths:
+        return Landing(ignored=ignored)
+    fresh = files.pending(files.profiles(spark, sorted(paths.values())), registry(spark, warehouse)).collect()
+    report = Landing(skipped=sorted(set(paths) - {r.file_name for r in fresh}), ignored=ignored)
     if not fresh:
         return report
-    groups = files.header_groups(spark, [r.path for r in fresh])
-    table_of = {r.file_name: r.table_name for r in fresh}
-    columns_of: dict[str, list[str]] = {}
-    counts: dict[str, int] = {}
-    for table in sorted(set(table_of.values())):
-        parts = []
-        for group in groups:
-            mine = [p for p in group.paths if table_of[base_name(p)] == table]
-            if mine:
-                parts.append(files.read_extract(spark, group.columns, group.multi_line, mine))
-                columns_of.update({base_name(p): group.columns for p in mine})
+    examples = {r.header: paths[r.file_name] for r in fresh}
+    columns = {header: files.header_columns(spark, path) if header else [] for header, path in examples.items()}
+    counts: dict[str, int] = {r.file_name: 0 for r in fresh}
+    for table in sorted({table_of[r.file_name] for r in fresh}):
+        alike: dict[tuple[str, bool], list[str]] = {}
+        for r in fresh:
+            if table_of[r.file_name] == table and columns[r.header]:
+                alike.setdefault((r.header, r.open_quotes), []).append(paths[r.file_name])
+        if not alike:
+            continue
+        parts = [files.read_extract(spark, columns[h], quoted, sorted(own)) for (h, quoted), own in sorted(alike.items())]
         replace_by_file(files.stamp(files.drift_union(parts), table, batch_id), table_path(warehouse, table))
-        counts.update(written_rows(spark, warehouse, table, [n for n, t in table_of.items() if t == table]))
-    # a header-only file writes no partition; what is found under its name are its old rows
-    counts.update({base_name(p): 0 for group in groups for p in group.empty_paths})
-    entries = [
-        (r.file_name, r.file_hash, r.table_name, counts.get(r.file_name, 0), columns_of[r.file_name]) for r in fresh
-    ]
+        counts.update(written_rows(spark, warehouse, table, [n for n in counts if table_of[n] == table]))
+    # a file without rows writes no partition; what is found under its name are its old rows
+    counts.update({r.file_name: 0 for r in fresh if r.empty})
+    entries = [(r.file_name, r.file_hash, table_of[r.file_name], counts[r.file_name], columns[r.header]) for r in fresh]
     log = spark.createDataFrame(
         entries, "file_name string, file_hash string, table_name string, row_count bigint, columns array<string>"
     )
@@ -141,10 +141,6 @@ def land(spark: SparkSession, folder: str, warehouse: str, batch_id: str) -> Lan
     return report
 
 
-def base_name(path: str) -> str:
-    return path.rsplit("/", 1)[-1]
-
-
 def written_rows(spark: SparkSession, warehouse: str, table: str, names: list[str]) -> dict[str, int]:
     """Row counts of the given files' partitions; only those partitions' footers are read."""
     try:

@@ -3,24 +3,23 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import model
 
-# binaryFile reads a file as one value; larger files are fingerprinted line by line
-WHOLE_FILE_LIMIT = 256 * 1024 * 1024
+# takes the cells of a row that has more than its header
+OVERLONG = "_overlong"
 
 
 def listing(spark: SparkSession, folder: str) -> DataFrame:
     """CSV files of a folder with the table, year and month their names carry.
 
     ``status`` is ``ignored`` for names outside the pattern and for unknown tables. File
-    content is not read, as only path and length are selected.
+    content is not read, as only path and length are selected. Files of no bytes are not listed.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(folder)
     return name_parts(files.select("path", "length", F.element_at(F.split("path", "/"), -1).alias("file_name")))
@@ -42,28 +41,45 @@ def name_parts(files: DataFrame) -> DataFrame:
     )
 
 
-def fingerprints(spark: SparkSession, folder: str, limit: int = WHOLE_FILE_LIMIT) -> DataFrame:
-    """(file_name, file_hash): MD5 of the bytes, or a line digest for files above ``limit``.
+def profiles(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """(file_name, file_hash, header, open_quotes, empty) from one pass over the files as text.
 
-    The digest combines line count, lengths and hashes with map-side aggregation, so a huge
-    file is read in splits by many tasks.
+    The digest takes every line at its place in the file, so rows that only change places change it.
+    It is put together from sums per split: within a split lines are weighed by their place there,
+    and the number of lines in earlier splits shifts that weight. So it doesn't depend on how a file
+    is split, a huge file is read by many tasks, and the same rule holds for every size.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(folder)
-    small = files.filter(F.col("length") <= limit).select(
-        F.element_at(F.split("path", "/"), -1).alias("file_name"), F.md5("content").alias("file_hash")
+    lines = spark.read.text(list(paths)).select(
+        F.col("_metadata.file_name").alias("file_name"),
+        F.col("_metadata.file_block_start").alias("at"),
+        F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("place"),  # within the task
+        "value",
     )
-    large = [r.path for r in files.filter(F.col("length") > limit).select("path").collect()]
-    if not large:
-        return small
-    lines = spark.read.text(large).select(F.col("_metadata.file_name").alias("file_name"), "value")
-    digest = lines.groupBy("file_name").agg(
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"')))
+    hashed = F.xxhash64("value")
+    halves = {"a": hashed.bitwiseAND(0xFFFFFFFF), "b": F.shiftrightunsigned(hashed, 32)}
+    sums = [F.sum(h.cast("decimal(12,0)")).alias(f"s{k}") for k, h in halves.items()]
+    weighed = [F.sum(h.cast("decimal(12,0)") * F.col("place").cast("decimal(12,0)")).alias(f"w{k}") for k, h in halves.items()]
+    splits = lines.groupBy("file_name", "at").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(F.octet_length("value")).alias("bytes"),
-        F.bit_xor(F.xxhash64("value")).alias("xored"),
-        F.sum(F.xxhash64("value").cast("decimal(38,0)")).alias("total"),
+        F.min("place").alias("first"),
+        F.min_by("value", "place").alias("header"),
+        F.bool_or(quotes % 2 == 1).alias("open_quotes"),
+        F.count_if(F.length(F.trim("value")) > 0).alias("filled"),
+        *sums,
+        *weighed,
     )
-    return small.unionByName(
-        digest.select("file_name", F.md5(F.concat_ws("|", "n", "bytes", "xored", "total")).alias("file_hash"))
+    earlier = Window.partitionBy("file_name").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    shift = (F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first")).cast("decimal(13,0)")
+    placed = splits.withColumn("shift", shift)
+    digest = [F.sum(f"s{k}").cast("string") for k in halves]
+    digest += [F.sum(F.col(f"w{k}").cast("decimal(38,0)") + F.col(f"s{k}").cast("decimal(24,0)") * F.col("shift")).cast("string") for k in halves]
+    return placed.groupBy("file_name").agg(
+        F.md5(F.concat_ws("|", F.sum("n").cast("string"), F.sum("bytes").cast("string"), *digest)).alias("file_hash"),
+        F.min_by("header", "at").alias("header"),
+        F.bool_or("open_quotes").alias("open_quotes"),
+        (F.sum("filled") <= 1).alias("empty"),
     )
 
 
@@ -76,56 +92,19 @@ def already_landed(found: DataFrame, registry: DataFrame) -> DataFrame:
     return found.join(registry.select("file_name", "file_hash"), ["file_name", "file_hash"], "left_semi")
 
 
-@dataclass(frozen=True)
-class HeaderGroup:
-    """Files that share one header line and can be parsed in one read."""
-
-    columns: list[str]
-    multi_line: bool
-    paths: list[str]
-    empty_paths: list[str]
-
-
-def header_groups(spark: SparkSession, paths: Sequence[str]) -> list[HeaderGroup]:
-    """Group files by header.
-
-    One pass over the files as text finds each first line, whether any line leaves a quote
-    open, and whether anything follows the header. Files without open quotes can be read in
-    splits; the others need whole-file parsing.
-    """
-    lines = spark.read.text(list(paths)).select(
-        F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_block_start").alias("at"),
-        F.monotonically_increasing_id().alias("seq"),
-        "value",
-    )
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"')))
-    profile = (
-        lines.groupBy("path")
-        .agg(
-            F.min_by("value", F.struct("at", "seq")).alias("header"),
-            F.bool_or(quotes % 2 == 1).alias("open_quotes"),
-            (F.count_if(F.length(F.trim("value")) > 0) <= 1).alias("empty"),
-        )
-        .groupBy("header", "open_quotes")
-        .agg(
-            F.array_sort(F.collect_list("path")).alias("paths"),
-            F.collect_list(F.when(F.col("empty"), F.col("path"))).alias("empty_paths"),
-        )
-    )
-    groups = []
-    for row in profile.collect():  # one row per distinct header
-        columns = spark.read.option("header", True).csv(row.paths[0]).columns
-        groups.append(HeaderGroup(columns, row.open_quotes, row.paths, row.empty_paths))
-    return groups
+def header_columns(spark: SparkSession, path: str) -> list[str]:
+    """The column names a file's header gives."""
+    return spark.read.option("header", True).option("escape", '"').csv(path).columns
 
 
 def read_extract(spark: SparkSession, columns: Sequence[str], multi_line: bool, paths: Sequence[str]) -> DataFrame:
     """Files that share one header as text columns; empty cells are NULL, "NA" stays text.
 
-    ``_row_seq`` keeps the order of the rows within a file.
+    Rows with fewer cells than the header are filled up with NULL. A row with more cells stops the
+    read with the file's name, as values would be lost otherwise. ``_row_seq`` keeps the order of the
+    rows within a file.
     """
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in (*columns, OVERLONG)])
     rows = (
         spark.read.schema(schema)
         .option("header", True)
@@ -134,9 +113,13 @@ def read_extract(spark: SparkSession, columns: Sequence[str], multi_line: bool,
         .option("emptyValue", "")
         .csv(list(paths))
     )
+    name = F.col("_metadata.file_name")
+    more = F.raise_error(F.concat(F.lit("a row has more cells than the header in "), name)).cast("string")
+    first, *others = [F.nullif(F.col(f"`{c}`"), F.lit("")) for c in columns]
+    checked = F.when(F.col(OVERLONG).isNull(), first).otherwise(more)
     return rows.select(
-        *[F.nullif(F.col(f"`{c}`"), F.lit("")).alias(c) for c in columns],
-        F.col("_metadata.file_name").alias("_source_file"),
+        *[c.alias(n) for n, c in zip(columns, (checked, *others))],
+        name.alias("_source_file"),
         F.monotonically_increasing_id().alias("_row_seq"),
     )
 
@@ -155,3 +138,9 @@ def stamp(rows: DataFrame, table: str, batch_id: str) -> DataFrame:
             "_batch_id": F.lit(batch_id),
         }
     )
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete one file, wherever Spark can reach it."""
+    file = spark._jvm.org.apache.hadoop.fs.Path(path)
+    file.getFileSystem(spark._jsc.hadoopConfiguration()).delete(file, False)

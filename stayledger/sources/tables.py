@@ -22,15 +22,29 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def export_csv(frames: Iterable[tuple[str, DataFrame]], folder: str, small: Iterable[str] = ()) -> dict[str, str]:
-    """Write each frame as CSV with header into a folder of its own.
-
-    Names in ``small`` (report-sized frames) are written as a single file.
-    """
+#: How exports are written and read: quotes are doubled, blanks and line breaks kept, an empty text is
+#: told from NULL by its quotes.
+CSV = {
+    "header": True,
+    "escape": '"',
+    "multiLine": True,
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+    "lineSep": "\n",
+}
+
+
+def export_csv(frames: Iterable[tuple[str, DataFrame]], folder: str) -> dict[str, str]:
+    """Write each frame as CSV with header into a folder of its own, by as many tasks as it has parts."""
     written = {}
-    single = set(small)
     for name, df in frames:
         target = f"{folder}/{name}"
-        (df.coalesce(1) if name in single else df).write.mode("overwrite").option("header", True).csv(target)
+        df.write.mode("overwrite").options(**CSV).csv(target)
         written[name] = target
     return written
+
+
+def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """An exported frame, text for text. A cell without anything is read as a mark that no text holds,
+    and so as NULL; an empty text in quotes stays one."""
+    return spark.read.schema(schema).options(**CSV, nullValue="\ufdd0", emptyValue="").csv(path)

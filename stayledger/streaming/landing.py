@@ -1,68 +1,41 @@
-"""Incremental landing of one source table as a file stream.
+"""Incremental landing of a folder as a file stream.
 
-The file source remembers paths, not content: a corrected file under an old name is only
-picked up by the batch landing, which compares content. Use the stream for steady arrival of
-new files and the batch run for corrections.
+The stream finds the files, each micro-batch lands its files as the batch run does: by content, with
+drifted headers, quoted line breaks and registry entries. The file source remembers paths, so a
+corrected file under an old name is only picked up by the batch run, which compares content.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..sources.bronze import replace_by_file, table_path
-from ..sources.files import stamp
+from ..sources import bronze, files
 
+LISTING = "path string, modificationTime timestamp, length bigint, content binary"
 
-def table_files(table: str) -> str:
-    return f"{table}_[0-9][0-9][0-9][0-9]_[0-9][0-9].csv"
 
+def arrivals(spark: SparkSession, folder: str) -> DataFrame:
+    """New CSV files of a folder as a stream of names and paths; contents are not read."""
+    found = spark.readStream.format("binaryFile").schema(LISTING).option("pathGlobFilter", "*.csv").load(folder)
+    return found.select("path", "length", F.element_at(F.split("path", "/"), -1).alias("file_name"))
 
-def read_stream(spark: SparkSession, folder: str, columns: Sequence[str], name_filter: str) -> DataFrame:
-    """New files as a stream of text rows under a fixed header."""
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    rows = (
-        spark.readStream.schema(schema)
-        .option("header", True)
-        .option("escape", '"')
-        .option("emptyValue", "")
-        .option("pathGlobFilter", name_filter)
-        .csv(folder)
-    )
-    return rows.select(
-        *[F.nullif(F.col(f"`{c}`"), F.lit("")).alias(c) for c in columns],
-        F.col("_metadata.file_name").alias("_source_file"),
-    )
 
-
-def land_stream(
-    spark: SparkSession,
-    folder: str,
-    warehouse: str,
-    table: str,
-    columns: Sequence[str],
-    name_filter: str | None = None,
-) -> StreamingQuery:
+def land_stream(spark: SparkSession, folder: str, warehouse: str) -> StreamingQuery:
     """Land all files that arrived since the last run, then stop.
 
-    By default only files named after the table and a month are taken.
-
-    A micro-batch replaces the partitions of its files, so a batch that is run again after a
-    failure leaves the same rows.
+    A micro-batch that is run again after a failure finds its files in the registry, or lands them
+    again into the same partitions.
     """
 
     def land_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.withColumn("_row_seq", F.monotonically_increasing_id())
-        replace_by_file(stamp(rows, table, f"stream-{batch_id}"), table_path(warehouse, table))
+        bronze.land_files(batch.sparkSession, files.name_parts(batch), warehouse, f"stream-{batch_id}")
 
     return (
-        read_stream(spark, folder, columns, name_filter or table_files(table))
+        arrivals(spark, folder)
         .writeStream.foreachBatch(land_batch)
-        .option("checkpointLocation", f"{warehouse}/meta/stream/{table}")
+        .option("checkpointLocation", f"{warehouse}/meta/stream")
         .trigger(availableNow=True)
         .start()
     )

@@ -1028,5 +1028,32 @@ oracle(
     "count(*) AS n, count(*) FILTER (rating = 1 OR f LIKE '%\\_1997\\_%' ESCAPE '\\') AS ones FROM raw_review GROUP BY ALL",
     "raw_review",
 )
-oracle("export_csv", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders")
-oracle("stream_landing", "SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders")
+oracle(
+    "export_csv",
+    "SELECT doc_id, ' \"' || text || '\"' || chr(10) AS text, CASE doc_id % 3 WHEN 0 THEN '' WHEN 1 THEN lang END AS lang, "
+    "source, n_chars FROM documents",
+)
+
+
+def landed(extra: str) -> str:
+    return (
+        "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CASE o_orderstatus WHEN 'F' THEN o_orderpriority "
+        "WHEN 'O' THEN o_orderpriority || ',' || chr(10) || '\"x\"' END AS o_orderpriority, CAST(o_orderdate AS DATE) AS o_orderdate, "
+        f"CASE o_orderstatus WHEN 'P' THEN '{extra}' END AS extra, 'hubspot_leads_2025_0' || "
+        "CASE o_orderstatus WHEN 'F' THEN '1' WHEN 'O' THEN '2' ELSE '3' END || '.csv' AS source_file, "
+        "'hubspot' AS source_system FROM orders"
+    )
+
+
+oracle("landing_rows", landed("newer"))
+oracle("stream_landing", landed("new"))
+oracle(
+    "landing_registry",
+    "WITH f AS (SELECT * FROM (VALUES ('hubspot_leads_2025_01.csv', 'F', "
+    "'o_orderkey,o_custkey,o_orderstatus,o_totalprice,o_orderdate,o_orderpriority'), ('hubspot_leads_2025_02.csv', 'O', "
+    "'o_totalprice,o_orderkey,o_orderpriority,o_orderdate,o_orderstatus,o_custkey'), ('hubspot_leads_2025_03.csv', 'P', "
+    "'o_orderkey,o_custkey,o_orderstatus,o_totalprice,o_orderdate,extra'), ('notes_2025_01.csv', NULL, NULL)) AS v(file_name, st, columns)) "
+    "SELECT CAST(run AS INTEGER) AS run, file_name, CASE WHEN st IS NULL THEN 'ignored' WHEN run = 0 OR (run = 2 AND st = 'F') "
+    "THEN 'loaded' ELSE 'skipped' END AS status, CASE WHEN st IS NOT NULL THEN (SELECT count(*) FROM orders WHERE o_orderstatus = st) END "
+    "AS row_count, columns, (SELECT count(*) FROM orders) AS table_rows FROM f, (VALUES (0), (1), (2)) AS r(run)",
+)

@@ -858,23 +858,89 @@ def replace_by_file(s):
 
 @query
 def export_csv(s):
+    """Documents with blanks, quotes and line breaks at their ends, exported and read back."""
     folder = scratch(s, "export")
-    tables.export_csv([("orders", s.orders.drop("o_orderdate"))], folder)
-    columns = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderpriority string"
-    return s.spark.read.schema(columns).option("header", True).csv(f"{folder}/orders")
+    text = F.concat(F.lit(' "'), "text", F.lit('"\n'))
+    empty = F.when(F.col("doc_id") % 3 == 0, F.lit("")).when(F.col("doc_id") % 3 == 1, F.col("lang"))
+    rows = s.documents.select("doc_id", text.alias("text"), empty.alias("lang"), "source", "n_chars")
+    tables.export_csv([("documents", rows)], folder)
+    return tables.read_csv(s.spark, f"{folder}/documents", "doc_id bigint, text string, lang string, source string, n_chars bigint")
+
+
+def as_extract(rows: DataFrame, folder: str, name: str) -> None:
+    """Write rows as one extract file of that name."""
+    target = f"{folder}/.{name}"
+    rows.coalesce(1).write.options(**tables.CSV).csv(target)
+    jvm = rows.sparkSession._jvm
+    source = jvm.org.apache.hadoop.fs.Path(target)
+    system = source.getFileSystem(rows.sparkSession._jsc.hadoopConfiguration())
+    part = next(f.getPath() for f in system.listStatus(source) if f.getPath().getName().startswith("part-"))
+    system.rename(part, jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}"))
+    system.delete(source, True)
+
+
+def order_extracts(s, folder: str) -> None:
+    """Orders as monthly extracts, one per status, with drifted headers and quoted line breaks."""
+    plain = s.orders.select(*[F.col(c).cast("string").alias(c) for c in ORDER_COLUMNS])
+    broken = F.concat("o_orderpriority", F.lit(',\n"x"'))
+    turned = plain.select("o_totalprice", "o_orderkey", broken.alias("o_orderpriority"), "o_orderdate", "o_orderstatus", "o_custkey")
+    as_extract(plain.filter("o_orderstatus = 'F'"), folder, "hubspot_leads_2025_01.csv")
+    as_extract(turned.filter("o_orderstatus = 'O'"), folder, "hubspot_leads_2025_02.csv")
+    more = plain.filter("o_orderstatus = 'P'").drop("o_orderpriority").withColumn("extra", F.lit("new"))
+    as_extract(more, folder, "hubspot_leads_2025_03.csv")
+    as_extract(plain.limit(1), folder, "notes_2025_01.csv")
+
+
+ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+
+
+def landed_orders(s, warehouse: str) -> DataFrame:
+    rows = bronze.read_bronze(s.spark, warehouse, "hubspot_leads")
+    typed = {"o_orderkey": "bigint", "o_custkey": "bigint", "o_totalprice": "double"}
+    return rows.select(
+        *[F.col(c).cast(typed.get(c, "string")).alias(c) for c in ORDER_COLUMNS if c != "o_orderdate"],
+        F.to_date(F.substring("o_orderdate", 1, 10)).alias("o_orderdate"),
+        "extra",
+        F.col("_source_file").alias("source_file"),
+        F.col("_source_system").alias("source_system"),
+    )
 
 
 @query
-def stream_landing(s):
-    """Orders exported as text files, landed as a stream, and read back."""
+def landing_rows(s):
+    """Orders landed from extracts, one of which is corrected and landed again, and read back."""
+    folder, warehouse = scratch(s, "in coming"), scratch(s, "landed")
+    order_extracts(s, folder)
+    bronze.land(s.spark, folder, warehouse, "first")
+    corrected = s.orders.filter("o_orderstatus = 'P'").withColumn("extra", F.lit("newer"))
+    files.remove(s.spark, f"{folder}/hubspot_leads_2025_03.csv")
+    as_extract(corrected.drop("o_orderpriority"), folder, "hubspot_leads_2025_03.csv")
+    bronze.land(s.spark, folder, warehouse, "second")
+    return landed_orders(s, warehouse)
+
+
+@query
+def landing_registry(s):
+    """What each of three landings did with each file: the same folder again, then with the rows of one
+    file in another order."""
     folder, warehouse = scratch(s, "incoming"), scratch(s, "landed")
-    columns = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
-    s.orders.select(*columns).write.option("header", True).csv(folder)
-    land_stream(s.spark, folder, warehouse, "gbp_reviews", columns, name_filter="*.csv").awaitTermination()
-    landed = s.spark.read.schema(bronze.bronze_schema(columns)).parquet(bronze.table_path(warehouse, "gbp_reviews"))
-    return landed.select(
-        F.col("o_orderkey").cast("bigint").alias("o_orderkey"),
-        F.col("o_custkey").cast("bigint").alias("o_custkey"),
-        "o_orderstatus",
-        "o_orderpriority",
-    )
+    order_extracts(s, folder)
+    runs = [bronze.land(s.spark, folder, warehouse, str(i)) for i in range(2)]
+    files.remove(s.spark, f"{folder}/hubspot_leads_2025_01.csv")
+    turned = s.orders.filter("o_orderstatus = 'F'").orderBy(F.desc("o_orderkey"))
+    as_extract(turned.select(*[F.col(c).cast("string").alias(c) for c in ORDER_COLUMNS]), folder, "hubspot_leads_2025_01.csv")
+    runs.append(bronze.land(s.spark, folder, warehouse, "2"))
+    seen = [(i, n, what) for i, r in enumerate(runs) for what in ("loaded", "skipped", "ignored") for n in getattr(r, what)]
+    counted = bronze.registry(s.spark, warehouse).select("file_name", "row_count", F.array_join("columns", ",").alias("columns"))
+    total = bronze.table_counts(s.spark, warehouse).filter("row_count > 0").select(F.col("row_count").alias("table_rows"))
+    done = s.spark.createDataFrame(seen, "run int, file_name string, status string")
+    return done.join(counted, "file_name", "left").withColumn("table_rows", total.scalar())
+
+
+@query
+def stream_landing(s):
+    """The same extracts landed as a stream, and read back as the batch's table."""
+    folder, warehouse = scratch(s, "in coming"), scratch(s, "landed")
+    order_extracts(s, folder)
+    land_stream(s.spark, folder, warehouse).awaitTermination()
+    return landed_orders(s, warehouse)

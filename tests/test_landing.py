@@ -1,7 +1,6 @@
 from __future__ import annotations
 
-import hashlib
-
+import pytest
 from conftest import as_map, as_set
 from pyspark.sql import functions as F
 
@@ -9,18 +8,22 @@ from stayledger.sources import bronze, files
 from stayledger.streaming.landing import land_stream
 
 
-def test_fingerprints(spark, tmp_path):
-    small, large = tmp_path / "a_2025_01.csv", tmp_path / "b_2025_01.csv"
-    small.write_bytes(b"x,y\r\n1,2\r\n")
-    large.write_bytes(b"x,y\r\n" + b"1,2\r\n" * 50)
-    limit = 100
-    first = as_map(files.fingerprints(spark, str(tmp_path), limit), "file_name", "file_hash")
-    assert first["a_2025_01.csv"] == hashlib.md5(small.read_bytes()).hexdigest()
-    assert as_map(files.fingerprints(spark, str(tmp_path), limit), "file_name", "file_hash") == first
-    large.write_bytes(b"x,y\r\n" + b"1,2\r\n" * 49 + b"1,3\r\n")
-    changed = as_map(files.fingerprints(spark, str(tmp_path), limit), "file_name", "file_hash")
-    assert changed["b_2025_01.csv"] != first["b_2025_01.csv"]
-    assert changed["a_2025_01.csv"] == first["a_2025_01.csv"]
+def test_digests_follow_content_and_order_but_not_splits(spark, tmp_path):
+    path = tmp_path / "b_2025_01.csv"
+    lines = [b"%d,%d" % (i, i * i) for i in range(3000)]
+
+    def digest(body, split="128m"):
+        path.write_bytes(b"x,y\r\n" + b"\r\n".join(body) + b"\r\n")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        try:
+            return as_map(files.profiles(spark, [str(path)]), "file_name", "file_hash")[path.name]
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+    first = digest(lines)
+    assert digest(lines, "4k") == digest(lines, "1000") == first
+    swapped = [lines[1], lines[0], *lines[2:]]
+    assert len({first, digest(swapped), digest(swapped, "4k"), digest(lines[:-1]), digest(lines[::-1]), digest([*lines[:-1], b"x"])}) == 5
 
 
 def test_listing(spark, tmp_path):
@@ -34,21 +37,38 @@ def test_listing(spark, tmp_path):
     }
 
 
-def test_header_groups_and_row_order(spark, tmp_path):
+def test_profiles_and_row_order(spark, tmp_path):
     one, two, three = (tmp_path / f"gbp_reviews_2025_0{i}.csv" for i in (1, 2, 3))
     one.write_bytes(b"id,t\r\n" + b"".join(b"%d,v\r\n" % i for i in range(200)))
-    two.write_bytes(b'id,t\r\n1,"a\r\nb"\r\n2,""\r\n')
+    two.write_bytes(b'id,t\r\n1,"a\r\nb"\r\n2,""\r\n3\r\n')
     three.write_bytes(b"t,id,z\r\n")
-    groups = files.header_groups(spark, [str(p) for p in (one, two, three)])
-    assert {(tuple(g.columns), g.multi_line, len(g.paths), len(g.empty_paths)) for g in groups} == {
-        (("id", "t"), False, 1, 0), (("id", "t"), True, 1, 0), (("t", "id", "z"), False, 1, 1),
-    }
-    parts = [files.read_extract(spark, g.columns, g.multi_line, g.paths) for g in groups]
-    landed = files.drift_union(parts)
-    assert landed.count() == 202 and set(landed.columns) >= {"id", "t", "z"}
+    found = files.profiles(spark, [str(p) for p in (one, two, three)]).select("header", "open_quotes", "empty")
+    assert as_set(found) == {("id,t", False, False), ("id,t", True, False), ("t,id,z", False, True)}
+    reads = [(["id", "t"], False, one), (["id", "t"], True, two), (["t", "id", "z"], False, three)]
+    landed = files.drift_union([files.read_extract(spark, c, m, [str(p)]) for c, m, p in reads])
+    assert landed.count() == 203 and set(landed.columns) >= {"id", "t", "z"}
     ordered = landed.filter(F.col("_source_file") == one.name).orderBy("_row_seq").select("id").collect()
     assert [int(r.id) for r in ordered] == list(range(200))
-    assert as_set(landed.filter(F.col("_source_file") == two.name).select("id", "t")) == {("1", "a\nb"), ("2", None)}
+    assert as_set(landed.filter(F.col("_source_file") == two.name).select("id", "t")) == {("1", "a\nb"), ("2", None), ("3", None)}
+
+
+def test_rows_longer_than_their_header_stop_the_run(spark, tmp_path):
+    folder, warehouse = tmp_path / "in", str(tmp_path / "w")
+    folder.mkdir()
+    (folder / "hubspot_leads_2025_01.csv").write_text("lead_id,status\nH1,Won,extra\n")
+    with pytest.raises(Exception, match="more cells than the header in hubspot_leads_2025_01.csv"):
+        bronze.land(spark, str(folder), warehouse, "b")
+    assert bronze.registry(spark, warehouse).count() == 0
+
+
+def test_folder_with_a_space_and_files_without_bytes(spark, tmp_path):
+    folder, warehouse = tmp_path / "my in", str(tmp_path / "w")
+    folder.mkdir()
+    (folder / "hubspot_leads_2025_01.csv").write_text("lead_id,status\nH1,Won\n")
+    (folder / "hubspot_leads_2025_02.csv").write_text("")
+    assert bronze.land(spark, str(folder), warehouse, "b").loaded == {"hubspot_leads_2025_01.csv": 1}
+    assert bronze.read_bronze(spark, warehouse, "hubspot_leads").count() == 1
+    assert bronze.land(spark, str(folder), warehouse, "c").loaded == {}
 
 
 def test_stream_takes_each_file_once(spark, tmp_path):
@@ -56,16 +76,15 @@ def test_stream_takes_each_file_once(spark, tmp_path):
     folder.mkdir()
 
     def run():
-        land_stream(spark, str(folder), warehouse, "hubspot_leads", ["lead_id", "status"]).awaitTermination()
-        landed = spark.read.schema(bronze.bronze_schema(["lead_id", "status"])).parquet(
-            bronze.table_path(warehouse, "hubspot_leads")
-        )
-        return as_set(landed.select("lead_id", "status", "_source_file"))
+        land_stream(spark, str(folder), warehouse).awaitTermination()
+        return as_set(bronze.read_bronze(spark, warehouse, "hubspot_leads").select("lead_id", "status", "_source_file"))
 
     (folder / "hubspot_leads_2025_01.csv").write_text("lead_id,status\nH1,Won\nH2,\n")
     (folder / "notes.csv").write_text("lead_id,status\nX,Y\n")
     january = {("H1", "Won", "hubspot_leads_2025_01.csv"), ("H2", None, "hubspot_leads_2025_01.csv")}
     assert run() == january
     assert run() == january
-    (folder / "hubspot_leads_2025_02.csv").write_text("lead_id,status\nH3,NA\n")
-    assert run() == january | {("H3", "NA", "hubspot_leads_2025_02.csv")}
+    (folder / "hubspot_leads_2025_02.csv").write_text('status,lead_id,extra\n"N\nA",H3,z\n')
+    assert run() == january | {("H3", "N\nA", "hubspot_leads_2025_02.csv")}
+    assert bronze.registry(spark, warehouse).count() == 2
+    assert bronze.land(spark, str(folder), warehouse, "b").loaded == {}
