@@ -322,7 +322,8 @@ def overlap_pairs(
     map-side, so a hot key shrinks to one row per day) and swept in time: an interval overlaps
     those still open when it starts. Empty intervals overlap those open around their day.
     Reversed intervals (end before start), which only defects produce, overlap exactly the
-    intervals that contain them; ``may_reverse=False`` skips that part where they are excluded.
+    intervals that contain them, see :func:`containers`; ``may_reverse=False`` skips that part where
+    they are excluded.
     """
     tail = F.coalesce(F.col(end), day(model.OPEN_END))
     spans = df.select(
@@ -347,17 +348,39 @@ def overlap_pairs(
     met = (F.col("_in") + F.col("_pt")) * F.col("_open") + F.col("_in") * (F.col("_in") - 1) / 2
     pairs = daily.withColumn("_open", still_open).select(key, met.cast("bigint").alias("pairs"))
     if may_reverse:
-        tally = spans.groupBy(key, "_s", "_e").agg(F.count(F.lit(1)).alias("_n"))
-        inner = tally.filter("_e < _s").select(
-            F.col(key).alias("_k"), F.col("_s").alias("_bs"), F.col("_e").alias("_be"), F.col("_n").alias("_bn")
-        )
-        around = tally.filter("_s < _e").join(
-            inner, (F.col(key) == F.col("_k")) & (F.col("_s") < F.col("_be")) & (F.col("_bs") < F.col("_e"))
-        )
-        pairs = pairs.unionByName(around.select(key, (F.col("_n") * F.col("_bn")).alias("pairs")))
+        pairs = pairs.unionByName(containers(spans, key))
     return pairs.groupBy(key).agg(F.sum("pairs").alias("pairs")).filter("pairs > 0")
 
 
+# days are numbered from here within so many bits (some eleven thousand years)
+FIRST_DAY, DAY_BITS = "0001-01-01", 22
+
+
+def containers(spans: DataFrame, key: str) -> DataFrame:
+    """(key, pairs): how often an interval [_s, _e) of a key contains a reversed one (_e before _s).
+
+    Intervals are not paired. Each stands, by its start, in one block of days of every size 1, 2, 4, ...;
+    the days before a reversed interval's end are a handful of such blocks. Within a block, intervals
+    and reversed ones are counted per day and swept from the latest end down, so a task sees no more
+    rows than there are days, however many rows the key has. Only keys with reversed rows are looked at.
+    """
+    number = lambda c: F.datediff(F.col(c), F.to_date(F.lit(FIRST_DAY)))
+    days = spans.select(F.col(key).alias("_k"), number("_s").alias("_from"), number("_e").alias("_to"))
+    turned = days.filter("_to < _from").groupBy("_k", "_from", "_to").agg(F.count(F.lit(1)).alias("_n"))
+    proper = days.filter("_from < _to").join(turned.select("_k").distinct(), "_k", "left_semi")
+    sizes = F.explode(F.sequence(F.lit(0), F.lit(DAY_BITS - 1)))
+    around = proper.select("_k", "_to", "_from", sizes.alias("_size")).select(
+        "_k", "_size", F.expr("shiftright(_from, _size)").alias("_block"), F.col("_to").alias("_d"), F.lit(1).alias("_in"), F.lit(0).alias("_ask")
+    )
+    inner = turned.select("_k", "_from", "_to", "_n", sizes.alias("_size")).filter("shiftright(_to, _size) % 2 = 1").select(
+        "_k", "_size", F.expr("shiftright(_to, _size) - 1").alias("_block"), F.col("_from").alias("_d"), F.lit(0).alias("_in"), F.col("_n").alias("_ask")
+    )
+    daily = around.unionByName(inner).groupBy("_k", "_size", "_block", "_d").agg(F.sum("_in").alias("_in"), F.sum("_ask").alias("_ask"))
+    later = Window.partitionBy("_k", "_size", "_block").orderBy(F.desc("_d")).rowsBetween(Window.unboundedPreceding, -1)
+    met = daily.withColumn("_open", F.coalesce(F.sum("_in").over(later), F.lit(0)))
+    return met.groupBy(F.col("_k").alias(key)).agg(F.sum(F.col("_ask") * F.col("_open")).cast("bigint").alias("pairs"))
+
+
 def multiple_current(ranges: DataFrame) -> DataFrame:
     """Residents with more than one current range."""
     return (

@@ -247,7 +247,8 @@ def violation_counts(gold, occupancy: DataFrame, window: DataFrame) -> DataFrame
         return F.count_if(~F.col(column).between(low, high))
 
     future = F.count_if(F.col("date_key") > F.col("_end"))
-    leases = temporal.overlap_pairs(gold["fact_lease"], "resident_id", "move_in_date", "move_out_date")
+    # cleaned leases hold no reversed ones
+    leases = temporal.overlap_pairs(gold["fact_lease"], "resident_id", "move_in_date", "move_out_date", may_reverse=False)
     ranges = temporal.overlap_pairs(
         gold["dim_resident_care_level"], "resident_id", "effective_from", "effective_to", closed=True
     )
