@@ -7,25 +7,26 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import pin
+from ..session import staged
 
 
 def dense_key(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
     """Number all rows 1..n in the global ``order`` without sorting them in a single task.
 
-    Rows are range-partitioned and sorted, then pinned in the shared folder, as partition ids
-    and row positions are only stable over materialised data. A row's key is its position in
+    Rows are range-partitioned and sorted, and written to the shared folder with their partition and
+    their position in it, as both are only stable once written. A row's key is its position in
     its partition plus the sizes of the partitions before it; only those sizes (one row per
     partition) pass through one task.
     """
     ascending = [F.col(c).asc_nulls_last() for c in order]
-    sorted_rows = pin(df.repartitionByRange(*ascending).sortWithinPartitions(*ascending))
+    sorted_rows = df.repartitionByRange(*ascending).sortWithinPartitions(*ascending)
     placed = sorted_rows.select(
         "*",
         F.spark_partition_id().alias("_part"),
         # the lower 33 bits count the rows of a partition
         F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("_pos"),
     )
+    placed = staged(placed, "dense-key")
     sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,9 +42,23 @@ def shared_dir(spark: SparkSession) -> str:
     return scratch
 
 
-def pin(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared folder so that partition ids and row order are stable."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint(eager=True)
+def staged_root(spark: SparkSession) -> str:
+    """The parent of everything this application stages."""
+    return f"{shared_dir(spark)}/stayledger/{spark.sparkContext.applicationId}"
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet to the shared folder and read it back.
+
+    Several plans can then start from the same rows without deriving them again, rows and their order
+    within files are fixed, and a lost executor costs no earlier step.
+    """
+    path = f"{staged_root(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear_staged(spark: SparkSession) -> None:
+    """Delete what this application has staged. Call it when the results have been written."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(staged_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

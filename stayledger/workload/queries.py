@@ -41,8 +41,21 @@ def query(build: Callable[[sh.Sample], DataFrame]):
     return build
 
 
+def shared_query(build: Callable[[sh.Sample], DataFrame]):
+    """A query whose parts start from the same shapes: each is derived once and staged."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        s = sh.Sample(spark, folder)
+        s.sharing = True
+        return build(s)
+
+    QUERIES[build.__name__] = run
+    return build
+
+
 def window(s: sh.Sample):
-    return temporal.window_bounds(temporal.analysis_window(sh.shipping_months(s), "snapshot_date"))
+    bounds = s.keep("window", lambda: temporal.analysis_window(sh.shipping_months(s), "snapshot_date"))
+    return temporal.window_bounds(bounds)
 
 
 def census(s: sh.Sample) -> DataFrame:
@@ -56,7 +69,7 @@ def anchor(s: sh.Sample):
 
 def ranges(s: sh.Sample) -> DataFrame:
     """Validity ranges for reports that do not need the surrogate key."""
-    built = temporal.level_ranges(sh.care_history(s), sh.stays(s))
+    built = s.keep("ranges", lambda: temporal.level_ranges(sh.care_history(s), sh.stays(s)))
     return built.withColumn("care_level_key", F.lit(None).cast("bigint"))
 
 
@@ -447,7 +460,7 @@ def occupancy_monthly(s):
     return kpi.monthly_occupancy(census(s), sh.units_monthly(s), sh.communities(s))
 
 
-@query
+@shared_query
 def los_by_level(s):
     residents = sh.stays(s).withColumnRenamed("care_level", "current_care_level")
     return kpi.length_of_stay(residents, ranges(s), anchor(s))
@@ -460,7 +473,7 @@ def top_reasons(s):
     )
 
 
-@query
+@shared_query
 def labor_cost_per_day(s):
     result = kpi.labor_cost_per_resident_day(sh.shift_facts(s), census(s), sh.communities(s))
     return as_double(result, "labor_cost", "labor_hours")
@@ -470,12 +483,12 @@ def as_double(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumns({n: F.col(n).cast("double") for n in names})
 
 
-@query
+@shared_query
 def incident_rate_community(s):
     return kpi.incident_rate_by_community(sh.incident_facts(s), census(s), sh.communities(s))
 
 
-@query
+@shared_query
 def incident_rate_level(s):
     segments = temporal.census_segments(sh.stays(s), ranges(s), *window(s))
     return kpi.incident_rate_by_care_level(
@@ -578,9 +591,13 @@ def metric_reviews_scoped(s):
 
 def cleaned(s, table: str) -> silver.Cleaned:
     if table == "yardi_units":
-        return silver.clean_units(sh.raw_units(s), sh.KNOWN_NATIONS)
-    cleaner = next(fn for source, fn in silver.CLEANERS.values() if source == table)
-    return cleaner(sh.RAW[table](s))
+        done = silver.clean_units(sh.raw_units(s), sh.KNOWN_NATIONS)
+    else:
+        done = next(fn for source, fn in silver.CLEANERS.values() if source == table)(sh.RAW[table](s))
+    if not s.sharing:
+        return done
+    parts = {part: getattr(done, part) for part in ("rows", "quarantine", "current")}
+    return silver.Cleaned(**{p: s.keep(f"{table}-{p}", lambda df=df: df) for p, df in parts.items() if df is not None})
 
 
 def log_of(s, table: str) -> DataFrame:
@@ -599,7 +616,7 @@ def clean_residents_current(s):
     )
 
 
-@query
+@shared_query
 def clean_residents_log(s):
     return log_of(s, "pcc_residents")
 
@@ -679,7 +696,7 @@ def all_logs(s) -> DataFrame:
     return quality.collect_quarantine([log for log in logs if log is not None])
 
 
-@query
+@shared_query
 def quarantine_summary(s):
     return quality.quarantine_summary(all_logs(s))
 
@@ -731,7 +748,7 @@ def fact_lead(s):
 # --- reconciliation -----------------------------------------------------------------------
 
 
-@query
+@shared_query
 def run_metrics(s):
     """Rows in, out and logged for every cleaner."""
     parts = []
@@ -760,7 +777,7 @@ def sample_tables(s):
     return landed, layer, star
 
 
-@query
+@shared_query
 def reconcile_landed(s):
     """Row counts recorded per file against the landed rows; one source lost its 1998 files."""
     landed, _, _ = sample_tables(s)
@@ -776,13 +793,13 @@ def reconcile_landed(s):
     return checks.landed_rows(recorded, kept)
 
 
-@query
+@shared_query
 def reconcile_counts(s):
     landed, layer, star = sample_tables(s)
     return checks.row_checks(landed, layer, star, all_logs(s))
 
 
-@query
+@shared_query
 def reconcile_aggregates(s):
     _, layer, star = sample_tables(s)
     bounds = temporal.analysis_window(sh.shipping_months(s), "snapshot_date")
@@ -801,13 +818,13 @@ def no_ranges(s) -> DataFrame:
     return temporal.level_ranges(history, residents).withColumn("care_level_key", F.lit(None).cast("bigint"))
 
 
-@query
+@shared_query
 def business_rules(s):
     """Violations per rule when the sample shapes stand in for the star schema."""
     built = ranges(s)
     residents = sh.stays(s).withColumn("current_acuity", F.length("care_level") * F.col("community_id"))
     star = {
-        "dim_community": sh.communities(s).filter(F.col("community_id") < 24),
+        "dim_community": sh.communities(s).filter(F.col("community_id") < 24),  # a missing community
         "dim_resident": residents,
         "dim_resident_care_level": built,
         "fact_lease": sh.leases(s),
@@ -822,14 +839,14 @@ def business_rules(s):
     return counts.select(F.col("name").alias("rule"), F.col("value").cast("bigint").alias("n"))
 
 
-@query
+@shared_query
 def business_rule_report(s):
     """The check rows for the same star schema as :func:`business_rules`."""
     counts = business_rules(s).select(F.col("rule").alias("name"), F.col("n").cast("double").alias("value"))
     return checks.rule_rows(counts)
 
 
-@query
+@shared_query
 def check_summary(s):
     return checks.summary(business_rule_report(s)).select(
         F.col("checks_run").cast("bigint").alias("checks_run"),

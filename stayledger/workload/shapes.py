@@ -7,9 +7,14 @@ scores. ``raw_*`` shapes are untyped extracts with the defects the cleaners deal
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import staged
+
 TABLES = ("nation", "region", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "labels")
 
 # --- Fixed values: the texts the defects are made of --------------------------------------
@@ -27,6 +32,16 @@ class Sample:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
         self.spark = spark
         self.folder = folder.rstrip("/")
+        #: Shapes that several parts of a query start from are derived once and staged.
+        self.sharing = False
+        self.kept: dict[str, DataFrame] = {}
+
+    def keep(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        if not self.sharing:
+            return build()
+        if name not in self.kept:
+            self.kept[name] = staged(build(), name)
+        return self.kept[name]
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
@@ -37,6 +52,16 @@ class Sample:
         raise AttributeError(name)
 
 
+def shared(build: Callable[[Sample], DataFrame]) -> Callable[[Sample], DataFrame]:
+    """A shape that queries with several parts keep."""
+
+    @wraps(build)
+    def once(s: Sample) -> DataFrame:
+        return s.keep(build.__name__, lambda: build(s))
+
+    return once
+
+
 def pick(c: Column, values: dict[str, str]) -> Column:
     return F.try_element_at(F.create_map(*[F.lit(x) for kv in values.items() for x in kv]), c)
 
@@ -57,12 +82,14 @@ def communities(s: Sample) -> DataFrame:
     )
 
 
+@shared
 def last_shipment(s: Sample) -> DataFrame:
     return s.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
         F.max(ship_day()).alias("last_ship"), F.min(ship_day()).alias("first_ship")
     )
 
 
+@shared
 def shipped_orders(s: Sample) -> DataFrame:
     """Orders with their customer's nation and their first and last shipping day."""
     nation = s.customer.select(
@@ -79,6 +106,7 @@ def discharge() -> Column:
     return F.when(F.col("last_ship") > F.col("admit_date"), F.col("last_ship"))
 
 
+@shared
 def stays(s: Sample) -> DataFrame:
     return shipped_orders(s).select(
         F.col("o_orderkey").alias("resident_id"),
@@ -89,6 +117,7 @@ def stays(s: Sample) -> DataFrame:
     )
 
 
+@shared
 def care_history(s: Sample) -> DataFrame:
     """Level changes of a stay: at most one row per order, shipping day and level."""
     return s.lineitem.groupBy(
@@ -106,6 +135,7 @@ def shipping_months(s: Sample) -> DataFrame:
     return s.lineitem.select(F.trunc(ship_day(), "MM").alias("snapshot_date"))
 
 
+@shared
 def units_monthly(s: Sample) -> DataFrame:
     """A supplier is offered as a unit in every month it ships in."""
     place = s.supplier.select(
@@ -117,6 +147,7 @@ def units_monthly(s: Sample) -> DataFrame:
     return months.join(place, "unit_id")
 
 
+@shared
 def leases(s: Sample) -> DataFrame:
     return shipped_orders(s).select(
         F.col("o_orderkey").alias("lease_id"),
@@ -130,6 +161,7 @@ def leases(s: Sample) -> DataFrame:
     )
 
 
+@shared
 def shift_facts(s: Sample) -> DataFrame:
     """Line items as worked shifts at the supplier's nation."""
     place = s.supplier.select(
@@ -143,6 +175,7 @@ def shift_facts(s: Sample) -> DataFrame:
     )
 
 
+@shared
 def incident_facts(s: Sample) -> DataFrame:
     """Returned line items as incidents of their order's stay."""
     place = shipped_place(s)
@@ -175,6 +208,7 @@ def reviews(s: Sample) -> DataFrame:
     )
 
 
+@shared
 def review_facts(s: Sample) -> DataFrame:
     return reviews(s).select(
         "review_id",
@@ -186,6 +220,7 @@ def review_facts(s: Sample) -> DataFrame:
     )
 
 
+@shared
 def leads(s: Sample) -> DataFrame:
     """Users as leads: the first day of each kind of event is a step of the funnel."""
 
@@ -248,6 +283,7 @@ def spelling(kind: Column) -> Column:
     return F.element_at(F.array(*[F.lit(x) for x in SPELLINGS]), (kind % len(SPELLINGS) + 1).cast("int"))
 
 
+@shared
 def raw_residents(s: Sample) -> DataFrame:
     """Customers as residents with one row per order in the month of the order."""
     o = F.col("o_orderkey")
@@ -271,6 +307,7 @@ def raw_residents(s: Sample) -> DataFrame:
     )
 
 
+@shared
 def raw_incidents(s: Sample) -> DataFrame:
     """Line items as incidents with repeated ids, severities out of range and text severities."""
     n = F.col("l_linenumber")
@@ -294,6 +331,7 @@ def line_seq() -> Column:
     return F.col("l_partkey") * 1000000000 + F.col("l_suppkey") * 10000 + F.col("l_quantity").cast("bigint") * 100
 
 
+@shared
 def raw_care_history(s: Sample) -> DataFrame:
     return s.lineitem.select(
         F.col("l_orderkey").cast("string").alias("resident_id"),
@@ -306,6 +344,7 @@ def raw_care_history(s: Sample) -> DataFrame:
     )
 
 
+@shared
 def raw_units(s: Sample) -> DataFrame:
     """Parts shipped by a supplier in a month as unit snapshots; nations above 21 are unknown."""
     place = s.supplier.select(
@@ -331,6 +370,7 @@ def raw_units(s: Sample) -> DataFrame:
 KNOWN_NATIONS = [str(i) for i in range(22)]
 
 
+@shared
 def raw_leases(s: Sample) -> DataFrame:
     """Line items as lease exports: an order's lease is exported again with every line item."""
     o = s.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority")
@@ -348,6 +388,7 @@ def raw_leases(s: Sample) -> DataFrame:
     )
 
 
+@shared
 def raw_shifts(s: Sample) -> DataFrame:
     """Line items as shifts with role-keyed rate text, plain rates, unknown roles and long hours."""
     n = F.col("l_linenumber")
@@ -364,6 +405,7 @@ def raw_shifts(s: Sample) -> DataFrame:
     )
 
 
+@shared
 def raw_reviews(s: Sample) -> DataFrame:
     o = F.col("o_orderkey")
     return shipped_orders(s).select(
@@ -379,6 +421,7 @@ def raw_reviews(s: Sample) -> DataFrame:
     )
 
 
+@shared
 def raw_leads(s: Sample) -> DataFrame:
     """Orders per customer as re-exported leads; each re-export may disagree with the others."""
     o = F.col("o_orderkey")
