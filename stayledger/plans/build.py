@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -102,18 +103,35 @@ def build_star(run: Run, tables: dict[str, DataFrame]) -> tuple[dict[str, DataFr
     return star, window
 
 
+def lost_values(run: Run, tables: dict[str, DataFrame]) -> DataFrame:
+    """Values of the cleaned tables that the star schema's declared types can't hold."""
+    found = [
+        make(tables[source], into=gold.misfits)
+        for make, source in (
+            (gold.dim_unit, "units"),
+            (gold.dim_resident, "residents"),
+            (gold.fact_lease, "leases"),
+            (gold.fact_shift, "shifts"),
+            (gold.fact_incident, "incidents"),
+            (gold.fact_review, "reviews"),
+        )
+    ]
+    return reduce(lambda a, b: a.unionByName(b), found)
+
+
 def store_census(run: Run, star: dict[str, DataFrame]) -> DataFrame:
     """The monthly census, stored once as the KPIs, metrics and checks all start from it."""
     return run.save("gold", "census_monthly", kpi.census_by_month(star["fact_resident_day"]))
 
 
 def execute(run: Run, folder: str, export_to: str | None = None, strict: bool = True) -> DataFrame:
-    """Run every stage and return the checks. ``strict`` stops on violated keys or references."""
+    """Run every stage and return the checks. ``strict`` stops on violated keys or references, and on
+    values that don't fit their declared types."""
     bronze = land(run, folder)
     tables = clean(run, bronze)
     star, window = build_star(run, tables)
     if strict:
-        broken = constraints.star_violations(star).collect()
+        broken = constraints.star_violations(star).unionByName(lost_values(run, tables)).collect()
         if broken:
             raise ValueError("; ".join(f"{r.table_name}: {r.rule} ({r.n})" for r in broken))
     frames = kpi.kpi_frames({**star, "census_monthly": store_census(run, star)}, tables)

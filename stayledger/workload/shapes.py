@@ -177,11 +177,10 @@ def shift_facts(s: Sample) -> DataFrame:
 
 @shared
 def incident_facts(s: Sample) -> DataFrame:
-    """Returned line items as incidents of their order's stay."""
+    """Line items as incidents of their order's stay."""
     place = shipped_place(s)
     return (
-        s.lineitem.filter(F.col("l_returnflag") == "R")
-        .select(
+        s.lineitem.select(
             F.col("l_orderkey").alias("resident_id"),
             ship_day().alias("date_key"),
             (1 + F.col("l_linenumber") % 5).alias("severity"),
