@@ -95,9 +95,15 @@ def monthly_census(
 
 
 def stay_days(stays: DataFrame, start: str | Column, end: str | Column) -> DataFrame:
-    """Total resident-days of the window in closed form, one row."""
-    days = F.datediff("last_day", "first_day") + 1
-    return clip_stays(stays, start, end).agg(F.sum(days).alias("resident_days"))
+    """Total resident-days of the window in closed form, one row.
+
+    Written on its own, not with :func:`clip_stays`, as checks hold the daily fact against it.
+    """
+    after = F.date_add(day(end), 1)
+    until = F.least(F.coalesce(F.col("discharge_date"), after), after)
+    days = F.greatest(F.datediff(until, F.greatest(F.col("admit_date"), day(start))), F.lit(0))
+    inside = stays.filter(F.col("admit_date").isNotNull()).withColumn("_days", days).filter("_days > 0")
+    return inside.agg(F.sum("_days").alias("resident_days"))
 
 
 def census_segments(

@@ -589,6 +589,44 @@ oracle(
 )
 oracle("census_closed_form", "SELECT count(*) AS resident_days FROM resident_day", "resident_day")
 oracle("census_monthly", "SELECT * FROM census", "census")
+LEASE_MONTHS = (
+    "SELECT month_start, lease_id, community_id, active, CAST(round(rate * active / days, 2) AS DECIMAL(12,2)) AS revenue "
+    "FROM (SELECT month_start, lease_id, community_id, "
+    "CAST(CAST(monthly_rate AS DECIMAL(10,2)) AS DOUBLE) AS rate, day(last_day(month_start)) AS days, "
+    "least(coalesce(CAST(move_out_date - INTERVAL 1 DAY AS DATE), last_day(month_start)), last_day(month_start)) "
+    "- greatest(move_in_date, month_start) + 1 AS active "
+    "FROM lease JOIN (SELECT DISTINCT CAST(date_trunc('month', d) AS DATE) AS month_start FROM days) "
+    "ON move_in_date <= last_day(month_start) AND (move_out_date IS NULL OR move_out_date > month_start))"
+)
+oracle(
+    "lease_month_rows",
+    "SELECT CAST(lease_id AS VARCHAR) AS lease_id, CAST(community_id AS VARCHAR) AS community_id, "
+    "string_agg(strftime(month_start, '%Y-%m') || ':' || active || ':' || CAST(revenue * 100 AS BIGINT), ' ' ORDER BY month_start) "
+    f"AS months FROM ({LEASE_MONTHS}) GROUP BY ALL",
+    "lease",
+    "days",
+)
+oracle(
+    "resident_day_digest",
+    "SELECT x.resident_id, community_id, count(*) AS days, min(d) AS first_day, max(d) AS last_day, CAST(sum("
+    "(d - DATE '1970-01-01')::HUGEINT * (d - DATE '1970-01-01') * (coalesce(care_level_key, 0) + 1)) AS DOUBLE) AS weighed "
+    "FROM resident_day x "
+    f"LEFT JOIN range_of_level r ON r.resident_id = x.resident_id AND {VALID.format(day='d')} GROUP BY ALL",
+    "resident_day",
+    "range_of_level",
+)
+oracle(
+    "care_level_candidates",
+    "SELECT user_id AS resident_id, split_part(c_name, '#', 1) AS first_name, split_part(c_name, '#', 2) AS last_name, "
+    "c_nationkey::BIGINT AS community_id, community_name, c_mktsegment AS current_care_level, from_month, from_acuity, to_month, "
+    "to_acuity, acuity_increase FROM (SELECT a.user_id, a.week AS from_month, a.acuity AS from_acuity, b.week AS to_month, "
+    "b.acuity AS to_acuity, b.acuity - a.acuity AS acuity_increase FROM score a JOIN score b ON a.user_id = b.user_id "
+    "AND b.week > a.week AND b.week <= a.week + INTERVAL 90 DAY WHERE b.acuity - a.acuity >= 2 QUALIFY row_number() OVER "
+    "(PARTITION BY a.user_id ORDER BY b.acuity - a.acuity DESC, b.week, a.week) = 1) "
+    "JOIN customer ON c_custkey = user_id JOIN community c ON c.community_id = c_nationkey",
+    "score",
+    "community",
+)
 oracle(
     "prorated_revenue",
     "SELECT month_start, CAST(community_id AS VARCHAR) AS community_id, count(*) AS lease_months, "

@@ -374,6 +374,29 @@ def census_days(s):
     )
 
 
+@query
+def resident_day_digest(s):
+    """The daily fact by resident: its days, and a sum that every row's day and key weigh in."""
+    dim = temporal.scd2(sh.care_history(s), sh.stays(s))
+    days = temporal.census_days(temporal.census_segments(sh.stays(s), dim, *window(s)))
+    number = F.datediff("date_key", F.to_date(F.lit("1970-01-01"))).cast("bigint")
+    return days.groupBy("resident_id", "community_id").agg(
+        F.count(F.lit(1)).alias("days"),
+        F.min("date_key").alias("first_day"),
+        F.max("date_key").alias("last_day"),
+        F.sum(number * number * (F.coalesce("care_level_key", F.lit(0)) + 1)).cast("double").alias("weighed"),
+    )
+
+
+@query
+def lease_month_rows(s):
+    """Every row of the revenue fact, those of a lease in one text."""
+    rows = gold.fact_monthly_revenue(sh.leases(s), *window(s))
+    cents = (F.col("revenue") * 100).cast("bigint")
+    shown = F.concat_ws(":", F.date_format("month_start", "yyyy-MM"), F.col("active_days").cast("string"), cents.cast("string"))
+    return rows.groupBy("lease_id", "community_id").agg(F.array_join(F.array_sort(F.collect_list(shown)), " ").alias("months"))
+
+
 @query
 def census_closed_form(s):
     return temporal.stay_days(sh.stays(s), *window(s))
@@ -503,6 +526,18 @@ def review_candidates(s):
     return temporal.steepest_rise(sh.scores(s), "user_id", "week", "acuity")
 
 
+@query
+def care_level_candidates(s):
+    """Residents whose score rose, with their names, communities and levels."""
+    monthly = sh.scores(s).select(F.col("user_id").alias("resident_id"), F.col("week").alias("snapshot_month"), F.col("acuity").alias("acuity_score"))
+    names = F.split("c_name", "#")
+    residents = s.customer.select(
+        F.col("c_custkey").alias("resident_id"), names[0].alias("first_name"), names[1].alias("last_name"),
+        F.col("c_nationkey").cast("bigint").alias("community_id"), F.col("c_mktsegment").alias("current_care_level"),
+    )
+    return kpi.review_candidates(monthly, residents, sh.communities(s))
+
+
 @query
 def reviews_summary(s):
     return kpi.reviews_summary(sh.review_facts(s), sh.communities(s))
