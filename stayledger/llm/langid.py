@@ -25,7 +25,7 @@ BUCKETS, DIMENSION = 1 << 12, 16
 #: Share of rightly named held-back texts that the rejection threshold may cost.
 REJECTED_SHARE = 0.001
 #: The threshold never lies above this score.
-HIGHEST_THRESHOLD = 0.5
+HIGHEST_THRESHOLD = 0.4
 UNKNOWN = "und"
 LETTER = re.compile(r"[^\W\d_]")
 #: ASCII letters stay, other ASCII bytes become blanks, bytes from 0x80 on stay.
