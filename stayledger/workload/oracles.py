@@ -1070,6 +1070,12 @@ oracle(
     "count(*) AS n, count(*) FILTER (rating = 1 OR f LIKE '%\\_1997\\_%' ESCAPE '\\') AS ones FROM raw_review GROUP BY ALL",
     "raw_review",
 )
+oracle(
+    "saved_tables",
+    "SELECT object, layer, n AS row_count, 'written' AS status, n AS stored FROM (SELECT 'orders' AS object, 'silver' AS layer, "
+    "count(*) AS n FROM orders UNION ALL SELECT 'lineitem', 'gold', count(*) FROM lineitem)",
+)
+oracle("views_by_sql", "SELECT region, CAST(sum(review_count) AS BIGINT) AS reviews FROM review_month GROUP BY region", "review_month")
 oracle(
     "export_csv",
     "SELECT doc_id, ' \"' || text || '\"' || chr(10) AS text, CASE doc_id % 3 WHEN 0 THEN '' WHEN 1 THEN lang END AS lang, "

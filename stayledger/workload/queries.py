@@ -24,7 +24,7 @@ from ..functions import (
     to_number,
 )
 from ..operators import constraints, keys, quality, temporal
-from ..plans import access, checks, gold, kpi, metrics, silver
+from ..plans import access, build, checks, gold, kpi, metrics, silver
 from ..session import shared_dir
 from ..sources import bronze, files, tables
 from ..streaming.landing import land_stream
@@ -905,6 +905,26 @@ def check_summary(s):
     )
 
 
+@query
+def saved_tables(s):
+    """Tables a run has stored, plain and by partition: rows counted while writing and when read back."""
+    run = build.Run(s.spark, scratch(s, "warehouse"), "sample")
+    stored = {
+        "orders": run.save("silver", "orders", s.orders),
+        "lineitem": run.save("gold", "lineitem", s.lineitem, partition_by="l_returnflag"),
+    }
+    parts = [df.agg(F.count(F.lit(1)).alias("stored")).withColumn("object", F.lit(n)) for n, df in stored.items()]
+    counted = run.metrics().select(F.col("stage").alias("layer"), "object", "row_count", "status")
+    return counted.join(parts[0].unionByName(parts[1]), "object")
+
+
+@query
+def views_by_sql(s):
+    """A KPI frame asked by name in SQL."""
+    kpi.register_views({"v_reviews_summary": kpi.reviews_summary(sh.review_facts(s), sh.communities(s))})
+    return s.spark.sql("SELECT region, CAST(sum(review_count) AS BIGINT) AS reviews FROM v_reviews_summary GROUP BY region")
+
+
 # --- files --------------------------------------------------------------------------------
 
 
