@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from ..session import shared_dir
+from ..session import staged_root
 
 #: Texts are cut into words in slices of about this many bytes, so that the word list of a very
 #: long text is never held as a whole.
@@ -39,22 +39,15 @@ def quoted(name: str) -> Column:
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: what follows starts from files that every
-    executor can reach, so a lost executor costs no earlier step. All folders of an application lie
-    under one parent, see :func:`staged_root`."""
-    spark = df.sparkSession
-    path = f"{staged_root(spark)}/{name}-{uuid.uuid4().hex}"
+    executor can reach, so a lost executor costs no earlier step. See ``session.clear_staged``."""
+    path = staged_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def staged_root(spark: SparkSession) -> str:
-    return f"{shared_dir(spark)}/stayledger-llm/{spark.sparkContext.applicationId}"
-
-
-def clear_staged(spark: SparkSession) -> None:
-    """Delete everything this application has staged. Call it once the results have been written."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(staged_root(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+def staged_path(spark: SparkSession, name: str) -> str:
+    """A new folder under the application's own."""
+    return f"{staged_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def ship(spark: SparkSession) -> None:

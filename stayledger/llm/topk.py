@@ -15,7 +15,6 @@ shuffled. Scores are whole numbers, so they don't depend on the order of summati
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +23,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_batches, quoted, staged_root
+from .common import map_batches, quoted, staged_path
 
 #: Queries that are broadcast at once, and compared with a batch of candidates at once.
 BLOCK, TILE = 16384, 512
@@ -135,7 +134,7 @@ def top_k(
     candidates = usable.select("key", "v")
     asked = usable.where("asks").groupBy("key").agg(F.min("v").alias("v"))
     blocks = max(1, -(-asked.count() // block))
-    path = f"{staged_root(spark)}/topk-{uuid.uuid4().hex}"
+    path = staged_path(spark, "topk")
     spark.createDataFrame([], SCHEMA).write.parquet(path)
     for b in range(blocks):
         rows = asked.where(F.pmod(F.xxhash64("key"), F.lit(blocks)) == b).collect()  # about `block` rows
