@@ -233,6 +233,7 @@ SOFT_RULES = [
     ("early_deposit", "HubSpot funnel chronology (deposit before tour)"),
     ("early_move_in", "HubSpot funnel chronology (move-in before deposit)"),
 ]
+# End of fixed values
 
 
 def violation_counts(gold, occupancy: DataFrame, window: DataFrame) -> DataFrame:

@@ -6,6 +6,8 @@ scalable formulation to the queries they check.
 
 from __future__ import annotations
 
+from ..plans.checks import HARD_RULES, SOFT_RULES
+
 SQL: dict[str, str] = {}
 
 # --- common table expressions: name -> (names it builds on, definition) -------------------
@@ -1016,32 +1018,13 @@ oracle(
 
 oracle("business_rules", "SELECT * FROM rule_violation", "rule_violation")
 
-RULES = [
-    ("lease_overlaps", "no overlapping leases per resident", "HIGH", "raise to client"),
-    ("odd_occupancy", "no negative or >100% occupancy", "CRITICAL", "fix in pipeline"),
-    ("early_discharge", "no discharge before admit", "CRITICAL", "quarantine"),
-    ("future_events", "no future-dated events (post window end)", "HIGH", "quarantine"),
-    ("odd_acuity", "acuity within 1-10", "HIGH", "quarantine + raise to client"),
-    ("odd_severity", "incident severity within 1-5", "HIGH", "quarantine"),
-    ("odd_rating", "review rating within 1-5", "MEDIUM", "quarantine"),
-    ("odd_hours", "shift hours within 0-16", "MEDIUM", "quarantine"),
-    ("strangers", "all facts reference known communities", "CRITICAL", "quarantine"),
-    ("range_overlaps", "SCD2 ranges do not overlap per resident", "CRITICAL", "fix in pipeline"),
-    ("many_current", "exactly one current SCD2 row per resident", "CRITICAL", "fix in pipeline"),
-]
-FUNNEL = [
-    ("early_deposit", "HubSpot funnel chronology (deposit before tour)"),
-    ("early_move_in", "HubSpot funnel chronology (move-in before deposit)"),
-]
-
-
 def rule_check(rule: str, title: str, severity: str, action: str, bad: str, told: str) -> str:
     source = f"(SELECT n FROM rule_violation WHERE rule = '{rule}')"
     return check("Business rules", f"'{title}'", "n = 0", f"n || '{told}'", source, severity, action, bad)
 
 
 REPORT = " UNION ALL ".join(
-    [rule_check(*r, "FAIL", " violating rows") for r in RULES]
+    [rule_check(*r, "FAIL", " violating rows") for r in HARD_RULES]
     + [
         rule_check(
             rule,
@@ -1051,7 +1034,7 @@ REPORT = " UNION ALL ".join(
             "WARN",
             " leads out of order — possibly process reality (deposits without tours), possibly CRM data entry",
         )
-        for rule, title in FUNNEL
+        for rule, title in SOFT_RULES
     ]
 )
 oracle("business_rule_report", REPORT, "rule_violation")
