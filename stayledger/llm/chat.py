@@ -35,7 +35,7 @@ def swapped_replies(turns: DataFrame, conversation: str = "conv_id") -> tuple[Da
     """Pairs out of plain conversations: chosen is a conversation up to its last reply; rejected is the
     same with the last reply of the neighbour (ids 2i and 2i+1) in its place, empty where the neighbour
     has none. Conversations without a reply make no pair. Both frames have pair_id, turn, role, text."""
-    rows = turns_of(turns, conversation)
+    rows = stage(turns_of(turns, conversation), "chat-rows")
     replies = rows.where(F.col("said.role") == ASSISTANT)
     last = stage(replies.groupBy("pair_id").agg(F.max("turn").alias("last")), "chat-last")
     bounded = rows.join(last, "pair_id")
