@@ -19,8 +19,10 @@ from pyspark.sql import types as T
 
 from .common import append, fold, quoted, slices
 
-#: Texts of the training sample, over all languages, and at most for one.
+#: Texts of the training sample, over all languages, and at most for one; parts in which a language's
+#: keys are ranked first.
 SAMPLE, PER_LANGUAGE = 2400, 400
+SLICES = 16
 BUCKETS, DIMENSION = 1 << 12, 16
 #: Share of rightly named held-back texts that the rejection threshold may cost.
 REJECTED_SHARE = 0.001
@@ -110,15 +112,18 @@ def calibrate(model: Model, counts: np.ndarray, labels: np.ndarray) -> Model:
 
 
 def sample(docs: DataFrame, key: str, text: str, lang: str, wanted: Column) -> DataFrame:
-    """PER_LANGUAGE texts of each language, those with the least hashes of their keys; ranks are cut in
-    each task before keys are shuffled, and texts are read for chosen keys only."""
+    """PER_LANGUAGE texts of each language, those with the least hashes of their keys. Ranks are cut in
+    each task before keys are shuffled, then by slices of a language, so that a task sees no more than
+    SLICES times PER_LANGUAGE keys of a very common one; texts are read for chosen keys only."""
     spread = F.xxhash64(quoted(key).cast("string"))
     usable = docs.where(wanted & quoted(text).isNotNull() & quoted(lang).isNotNull()).select(
         quoted(key).cast("string").alias("key"), spread.alias("h"), quoted(lang).cast("string").alias("lang"), quoted(text).alias("text")
     )
-    place = F.row_number().over(Window.partitionBy("lang").orderBy("h", "key"))
+    bounds = usable.select("lang", "h", "key", F.pmod(F.xxhash64("h"), F.lit(SLICES)).alias("slice"))
+    for parts in (("lang", "slice"), ("lang",)):
+        place = F.row_number().over(Window.partitionBy(*parts).orderBy("h", "key"))
+        bounds = bounds.withColumn("r", place).where(F.col("r") <= PER_LANGUAGE)
     most = F.max("h").alias("most")
-    bounds = usable.select("lang", "h", "key").withColumn("r", place).where(F.col("r") <= PER_LANGUAGE)
     bounds = bounds.groupBy("lang").agg(most, F.min("h").alias("least")).orderBy("least").limit(SAMPLE // 4)
     chosen = usable.join(F.broadcast(bounds), "lang").where(F.col("h") <= F.col("most"))  # one row per language
     return chosen.select("h", "key", "lang", "text")
