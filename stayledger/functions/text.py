@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from itertools import chain
 
 from pyspark.sql import Column
@@ -14,6 +14,7 @@ from .numbers import SPACE, to_number
 # an entry is a quoted role, a colon, and a number, a word or a quoted text
 _VALUE = r"""[^,{}'"]+|'[^']*'|"[^"]*\""""
 RATE_ENTRY = rf"""(['"])([^'"]*)\1\s*:\s*({_VALUE})"""
+RATE_VALUE = rf"""^\s*:\s*({_VALUE})"""
 _ENTRY = rf"""\s*(?:'[^']*'|"[^"]*")\s*:\s*(?:{_VALUE})"""
 RATE_MAP = rf"^{SPACE}*\{{{_ENTRY}(?:,{_ENTRY})*,?\s*\}}{SPACE}*\z"
 QUOTES = r"""^\s*['"]|['"]\s*$"""
@@ -33,14 +34,29 @@ def canonical(c: Column, spellings: Mapping[str, str]) -> Column:
 def rate_for_role(rate_text: Column, role: Column) -> Column:
     """A rate given either as a plain number or as ``{'role': rate, ...}`` text keyed by role.
 
-    The map's entries are read one by one: other roles may have no usable rate (``None``), a comma
-    may follow the last entry, and of entries with the same role the last one counts.
+    Other roles may have no usable rate (``None``), a comma may follow the last entry, and of entries
+    with the same role the last one counts.
     """
-    entries = F.when(F.regexp_like(rate_text, F.lit(RATE_MAP)), rate_text)
-    roles = F.reverse(F.regexp_extract_all(entries, F.lit(RATE_ENTRY), F.lit(2)))
-    rates = F.reverse(F.regexp_extract_all(entries, F.lit(RATE_ENTRY), F.lit(3)))
-    own = F.try_element_at(rates, F.nullif(F.array_position(roles, role), F.lit(0)).cast("int"))
-    return F.coalesce(to_number(rate_text), to_number(F.regexp_replace(own, QUOTES, "")))
+    mention = F.concat(F.lit("'"), role, F.lit("'"))
+    after = F.call_function("substring_index", rate_text, mention, F.lit(-1))
+    listed = F.when(F.contains(rate_text, role), listed_rate(rate_text, role))
+    # what follows the role's last mention is its rate, unless the role stands there as a rate itself
+    plain = ~F.contains(rate_text, F.lit('"'))
+    own = once(F.regexp_extract(after, RATE_VALUE, 1), lambda v: F.when((v != "") & plain, v).otherwise(listed))
+    rate = once(own, lambda v: to_number(F.regexp_replace(v, QUOTES, "")))
+    return F.coalesce(to_number(rate_text), F.when(F.regexp_like(rate_text, F.lit(RATE_MAP)), rate))
+
+
+def once(c: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is computed once, however often ``then`` uses it."""
+    return F.get(F.transform(F.array(c), then), F.lit(0))
+
+
+def listed_rate(rate_text: Column, role: Column) -> Column:
+    """The rate of the last entry with that role, entry by entry."""
+    roles = F.reverse(F.regexp_extract_all(rate_text, F.lit(RATE_ENTRY), F.lit(2)))
+    rates = F.reverse(F.regexp_extract_all(rate_text, F.lit(RATE_ENTRY), F.lit(3)))
+    return F.try_element_at(rates, F.nullif(F.array_position(roles, role), F.lit(0)).cast("int"))
 
 
 def raw_json(*columns) -> Column:

@@ -55,10 +55,11 @@ def test_rate_for_role(rows):
     texts = [("{'RN': 46, 'Cook': 16}", "RN"), ("{'RN': '46.5'}", "RN"), ("{'RN': 46}", "Cook"), ("18.5", "RN"),
              ("NaN", "RN"), ("?", "RN"), (None, "RN"), ("{'RN': 46}", None), ("{'RN': 38.5, 'CNA': None}", "RN"),
              ("{'RN': 38.5, 'CNA': None}", "CNA"), ("{'RN': 38.5,}", "RN"), ("{'RN': 1, 'RN': 2}", "RN"), ("{'RN': 1", "RN"),
-             ('\u00a0{"RN" : "7", \'LPN\':8 } ', "RN"), ("\u00a012\u2003", "RN"), ("{'RN': 1 'LPN': 2}", "RN"), ("{}", "RN")]
+             ('\u00a0{"RN" : "7", \'LPN\':8 } ', "RN"), ("\u00a012\u2003", "RN"), ("{'RN': 1 'LPN': 2}", "RN"), ("{}", "RN"),
+             ("{'RN': 5, 'X': 'RN'}", "RN"), ("{'X': 'RN'}", "RN")]
     df = rows([(i, *t) for i, t in enumerate(texts)], "i int, t string, role string")
     found = [r[1] for r in df.select("i", rate_for_role(F.col("t"), F.col("role"))).orderBy("i").collect()]
-    assert found == [46.0, 46.5, None, 18.5, None, None, None, None, 38.5, None, 38.5, 2.0, None, 7.0, 12.0, None, None]
+    assert found == [46.0, 46.5, None, 18.5, None, None, None, None, 38.5, None, 38.5, 2.0, None, 7.0, 12.0, None, None, 5.0, None]
 
 
 def test_rounding(rows):
