@@ -17,11 +17,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import append, fold, quoted, slices
+from .common import append, fold, quoted, slices, stage
 
-#: Texts of the training sample, over all languages, and at most for one; parts in which a language's
-#: keys are ranked first.
+#: Texts of the training sample, over all languages, and at most for one.
 SAMPLE, PER_LANGUAGE = 2400, 400
+#: Languages share SAMPLE evenly; it grows with their number, so that each gets so many, if it has them.
+LEAST = 20
+#: More languages than this are an error: the driver holds BUCKETS counts for each text of the sample.
+MOST_LANGUAGES = 600
+#: Parts in which a language's keys are ranked first.
 SLICES = 16
 BUCKETS, DIMENSION = 1 << 12, 16
 #: Share of rightly named held-back texts that the rejection threshold may cost.
@@ -112,33 +116,41 @@ def calibrate(model: Model, counts: np.ndarray, labels: np.ndarray) -> Model:
 
 
 def sample(docs: DataFrame, key: str, text: str, lang: str, wanted: Column) -> DataFrame:
-    """PER_LANGUAGE texts of each language, those with the least hashes of their keys. Ranks are cut in
-    each task before keys are shuffled, then by slices of a language, so that a task sees no more than
-    SLICES times PER_LANGUAGE keys of a very common one; texts are read for chosen keys only."""
+    """(lang, counts) of the training texts: those of each language with the least hashes of their keys,
+    as many of each as an even share of the sample allows.
+
+    Ranks are cut in each task before keys are shuffled, then by slices of a language, so that a task sees
+    no more than SLICES times PER_LANGUAGE keys of a very common one; texts are read for chosen keys only.
+    More than MOST_LANGUAGES languages raise a ValueError."""
     spread = F.xxhash64(quoted(key).cast("string"))
     usable = docs.where(wanted & quoted(text).isNotNull() & quoted(lang).isNotNull()).select(
         quoted(key).cast("string").alias("key"), spread.alias("h"), quoted(lang).cast("string").alias("lang"), quoted(text).alias("text")
     )
-    bounds = usable.select("lang", "h", "key", F.pmod(F.xxhash64("h"), F.lit(SLICES)).alias("slice"))
+    ranked = usable.select("lang", "h", "key", F.pmod(F.xxhash64("h"), F.lit(SLICES)).alias("slice"))
     for parts in (("lang", "slice"), ("lang",)):
         place = F.row_number().over(Window.partitionBy(*parts).orderBy("h", "key"))
-        bounds = bounds.withColumn("r", place).where(F.col("r") <= PER_LANGUAGE)
-    most = F.max("h").alias("most")
-    bounds = bounds.groupBy("lang").agg(most, F.min("h").alias("least")).orderBy("least").limit(SAMPLE // 4)
+        ranked = ranked.withColumn("r", place).where(F.col("r") <= PER_LANGUAGE)
+    ranked = stage(ranked, "language-ranks")  # a few small columns, PER_LANGUAGE rows of a language
+    n = ranked.where("r = 1").count()
+    if n > MOST_LANGUAGES:
+        raise ValueError(f"{n} languages are labelled; at most {MOST_LANGUAGES} can be learnt")
+    # by rank first: every language has had its r-th text before one gets another
+    shared = ranked.orderBy("r", "h", "key", "lang").limit(max(SAMPLE, LEAST * n))
+    bounds = shared.groupBy("lang").agg(F.max("h").alias("most"), F.count("*").alias("n"))
     chosen = usable.join(F.broadcast(bounds), "lang").where(F.col("h") <= F.col("most"))  # one row per language
-    return chosen.select("h", "key", "lang", "text")
-
-
-def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", wanted: Column | None = None) -> Model | None:
-    """A model trained on rows for which ``wanted`` holds; None without any labelled text."""
-    chosen = sample(docs, key, text, lang, F.lit(True) if wanted is None else wanted)
     counts = T.StructType([T.StructField("counts", T.BinaryType())])
 
     def make():
         return lambda texts: [pa.array([subwords(t).astype("<u4").tobytes() for t in texts.to_pylist()], pa.binary())]
 
-    counted = append(chosen, [F.col("text")], counts, make).orderBy("h", "key", "lang").limit(SAMPLE)
-    rows = counted.select("lang", "counts").collect()
+    counted = append(chosen, [F.col("text")], counts, make).select("lang", "h", "key", "counts", "n")
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("h", "key", "counts"))  # repeated keys share a hash
+    return counted.withColumn("r", place).where((F.col("r") <= F.col("n")) & (F.col("r") <= PER_LANGUAGE)).select("lang", "counts")
+
+
+def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", wanted: Column | None = None) -> Model | None:
+    """A model trained on rows for which ``wanted`` holds; None without any labelled text."""
+    rows = sample(docs, key, text, lang, F.lit(True) if wanted is None else wanted).collect()
     rows.sort(key=lambda r: (r.lang, bytes(r.counts)))
     if not rows:
         return None

@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import random
+from collections import Counter
+
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
 from stayledger.llm import langid
 
@@ -54,3 +59,31 @@ def test_edges(spark):
     assert langid.predict(frame.limit(0), model).count() == 0
     held = frame.select(langid.held_out().alias("h"), "doc_id").collect()
     assert all(r.h is not None for r in held)
+
+
+def test_rare_languages_keep_their_share(spark):
+    rng = random.Random(1)
+    words = [["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(40)] for _ in range(20)]
+    texts = F.array(*[F.lit(" ".join(rng.choices(w, k=60))) for w in words for _ in range(10)])
+    starts = np.cumsum([0, *[30000] * 8, *[100] * 11, 10])
+    lang = F.lit(-1)
+    for start in starts[:-1]:
+        lang = lang + (F.col("id") >= int(start)).cast("int")
+    numbered = spark.range(int(starts[-1])).select(F.col("id").alias("doc_id"), lang.alias("n"))
+    frame = numbered.select("doc_id", F.format_string("l%02d", "n").alias("lang"), F.get(texts, (F.col("n") * 10 + F.col("doc_id") % 10).cast("int")).alias("text"))
+    model = langid.fit(frame)
+    assert model.languages == [f"l{i:02}" for i in range(20)]
+    rare = langid.predict(frame.where("n >= 8"), model).collect()
+    assert np.mean([r.lang == r.lang_pred for r in rare]) > 0.99
+    found = Counter(r.lang for r in langid.sample(frame, "doc_id", "text", "lang", F.lit(True)).collect())
+    common = [found[f"l{i:02}"] for i in range(8)]
+    assert [found[f"l{i:02}"] for i in range(8, 20)] == [100] * 11 + [10]
+    assert sum(found.values()) == langid.SAMPLE and max(common) - min(common) <= 1
+
+
+def test_many_languages(spark):
+    frame = spark.range(40 * 130).select(F.col("id").alias("doc_id"), F.concat(F.lit("l"), F.col("id") % 130).alias("lang"), F.lit("word").alias("text"))
+    found = Counter(r.lang for r in langid.sample(frame, "doc_id", "text", "lang", F.lit(True)).collect())
+    assert len(found) == 130 and set(found.values()) == {langid.LEAST}
+    with pytest.raises(ValueError, match="601 languages"):
+        langid.fit(spark.range(601).select(F.col("id").alias("doc_id"), F.concat(F.lit("l"), "id").alias("lang"), F.lit("word").alias("text")))
