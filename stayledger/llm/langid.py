@@ -30,8 +30,8 @@ SLICES = 16
 BUCKETS, DIMENSION = 1 << 12, 16
 #: Share of rightly named held-back texts that the rejection threshold may cost.
 REJECTED_SHARE = 0.001
-#: The threshold never lies above this score.
-HIGHEST_THRESHOLD = 0.4
+#: One in so many of a language's texts is kept back.
+BACK_EVERY = 5
 UNKNOWN = "und"
 LETTER = re.compile(r"[^\W\d_]")
 #: ASCII letters stay, other ASCII bytes become blanks, bytes from 0x80 on stay.
@@ -100,21 +100,41 @@ def train(counts: np.ndarray, labels: np.ndarray, languages: list[str], epochs:
 
 
 def calibrate(model: Model, counts: np.ndarray, labels: np.ndarray) -> Model:
-    """The temperature with the least log loss, and the rejection threshold."""
+    """The temperature with the least log loss, and the rejection threshold. Each label counts as wrong with
+    a weight of one in len(labels) + 2 (Platt's targets): separable texts don't make every score 1."""
     if not len(labels):
         return model
 
+    wrong = 1 / (len(labels) + 2)
+
     def loss(t: float) -> float:
         model.temperature = t
-        return float(-np.log(np.maximum(model.probabilities(counts)[np.arange(len(labels)), labels], 1e-12)).mean())
+        p = np.clip(model.probabilities(counts)[np.arange(len(labels)), labels], 1e-12, 1 - 1e-12)
+        return float(-((1 - wrong) * np.log(p) + wrong * np.log(1 - p)).mean())
 
     model.temperature = min((float(t) for t in np.geomspace(0.25, 4, 33)), key=loss)
     p = model.probabilities(counts)
-    right = p.max(axis=1)[p.argmax(axis=1) == labels]
-    model.threshold = min(HIGHEST_THRESHOLD, float(np.quantile(right, REJECTED_SHARE))) if len(right) else 0.0
+    model.threshold = low_score(p.max(axis=1)[p.argmax(axis=1) == labels])
     return model
 
 
+def low_score(scores: np.ndarray, share: float = REJECTED_SHARE) -> float:
+    """The score below which ``share`` of such texts lie; 0 for fewer than two scores. As a share below
+    one in len(scores) lies outside them, the lowest tenth (five at least) is continued as an exponential
+    tail of log odds."""
+    z = np.sort(np.log(np.maximum(scores, 1e-12)) - np.log(np.maximum(1 - scores, 1e-12)))
+    k = min(len(z) - 1, max(5, len(z) // 10))
+    if k < 1:
+        return 0.0
+    low = z[k] - (z[k] - z[:k]).mean() * max(0.0, np.log(k / (len(z) * share)))
+    return float(1 / (1 + np.exp(-low)))
+
+
+def kept_back(labels: np.ndarray) -> np.ndarray:
+    """Which rows, sorted by label, are kept back: one in BACK_EVERY of each label, none of a label with fewer."""
+    return (np.arange(len(labels)) - np.searchsorted(labels, labels)) % BACK_EVERY == BACK_EVERY - 1
+
+
 def sample(docs: DataFrame, key: str, text: str, lang: str, wanted: Column) -> DataFrame:
     """(lang, counts) of the training texts: those of each language with the least hashes of their keys,
     as many of each as an even share of the sample allows.
@@ -157,9 +177,7 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
     languages = sorted({r.lang for r in rows})
     labels = np.array([languages.index(r.lang) for r in rows])
     x = np.stack([np.frombuffer(r.counts, "<u4").astype(np.float32) for r in rows])
-    back = np.arange(len(rows)) % 5 == 0
-    if set(labels[~back]) != set(labels):  # too few texts to keep any back
-        back[:] = False
+    back = kept_back(labels)
     return calibrate(train(x[~back], labels[~back], languages), x[back], labels[back])
 
 

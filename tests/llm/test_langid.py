@@ -87,3 +87,33 @@ def test_many_languages(spark):
     assert len(found) == 130 and set(found.values()) == {langid.LEAST}
     with pytest.raises(ValueError, match="601 languages"):
         langid.fit(spark.range(601).select(F.col("id").alias("doc_id"), F.concat(F.lit("l"), "id").alias("lang"), F.lit("word").alias("text")))
+
+
+def garbled(spark, n=100):
+    rng = random.Random(1)
+    return spark.createDataFrame([("".join(rng.choices("abcdefghijklmnopqrstuvwxyz    ", k=400)),) for _ in range(n)], "text string")
+
+
+def test_a_rare_label_leaves_rejection_on(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text", "lang")
+    model = langid.fit(docs.union(spark.createDataFrame([(-1, "the only one of its kind", "aa")], docs.schema)))
+    assert model.languages == ["aa", "de", "en", "es", "fr"] and model.threshold > 0.2
+    assert langid.predict(garbled(spark), model).where("rejected").count() >= 80
+    assert langid.kept_back(np.array([0, 0, 0, 1, 2, 2, 2, 2, 2, 2])).nonzero()[0].tolist() == [8]
+
+
+def test_rejection_with_two_languages(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").where("lang IN ('en', 'fr')")
+    model = langid.fit(docs, wanted=~langid.held_out())
+    clean = langid.predict(docs, model).where(langid.held_out() & (F.col("lang_pred") == F.col("lang")))
+    assert clean.where("rejected").count() <= 0.02 * clean.count()
+    assert langid.predict(garbled(spark), model).where("rejected").count() >= 80
+
+
+def test_low_score():
+    scores = 1 / (1 + np.exp(-(5 + np.random.default_rng(1).exponential(1, 20000) * -1)))
+    exact = np.quantile(scores, 0.001)
+    for n in (1000, 20000):
+        assert abs(np.log(langid.low_score(scores[:n]) / exact)) < 1.5
+    assert np.mean(scores < langid.low_score(scores[:100])) <= 0.01
+    assert langid.low_score(scores[:0]) == langid.low_score(scores[:1]) == 0.0
