@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, licenses, urls
+from . import chat, decontaminate, fim, licenses, urls
 from .queries import URL_RULES
 
 SQL: dict[str, str] = {}
@@ -155,3 +155,69 @@ SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN matched IS NULL TH
        coalesce(rule, matched) AS evidence
 FROM globs LEFT JOIN (SELECT * FROM fits WHERE place = 1) USING (r)
 """
+
+_TERMS = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+_FLOOR = "CAST(((p - q) * (p - q)) // (p + q) AS BIGINT)"
+
+
+def _share(count: str, total: str, size: str) -> str:
+    return f"1 + (1000000000::HUGEINT * ({count} + 2)) // ({total} + 2 * {size})"
+
+
+SQL["op11_divergence"] = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), '{urls.UPPER}', '{urls.LOWER}'), '{_TERMS}') AS w FROM documents
+), t AS (
+  SELECT r, lang, source, unnest(w) AS term FROM d
+), kept AS (
+  SELECT lang, term, count(*) AS n FROM t GROUP BY lang, term HAVING count(DISTINCT r) >= 10
+), sizes AS (
+  SELECT lang, count(*)::HUGEINT AS v, sum(n) AS total FROM kept GROUP BY lang
+), held AS (
+  SELECT lang, source, term, count(*)::HUGEINT AS n FROM t JOIN kept USING (lang, term) GROUP BY lang, source, term
+), grp AS (
+  SELECT lang, source, coalesce(sum(held.n), 0) AS total FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN held USING (lang, source) GROUP BY lang, source
+), dense AS (
+  SELECT g.lang, g.source, k.term, coalesce(h.n, 0) AS n, {_share("coalesce(h.n, 0)", "g.total", "s.v")} AS p,
+         {_share("k.n", "s.total", "s.v")} AS q
+  FROM grp AS g JOIN kept AS k USING (lang) JOIN sizes AS s USING (lang) LEFT JOIN held AS h ON h.lang = g.lang AND h.source = g.source AND h.term = k.term
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum({_FLOOR.replace("q", "b.p").replace("(p", "(a.p")}) AS value
+  FROM dense AS a JOIN dense AS b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source
+), parts AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+  FROM grp AS a JOIN grp AS b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, {_FLOOR} FROM dense WHERE n > 0 AND p > q
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM parts
+)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
+_HEAD = "array_to_string(w[1 : {}], '')"
+_DRAW = "CAST('0x' || substr(h, {}, 8) AS BIGINT)"
+SQL["op13_fim"] = f"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+         regexp_extract_all(coalesce(text, ''), '[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+') AS w
+  FROM documents
+), e AS (
+  SELECT *, len(w) AS n, {_DRAW.format(1)} % (len(w) + 1) AS a, {_DRAW.format(9)} % (len(w) + 1) AS b,
+         {_DRAW.format(17)} % 100 AS c, {_DRAW.format(25)} % 100 AS k FROM d
+), f AS (
+  SELECT *, length({_HEAD.format("least(a, b)")}) AS x, length({_HEAD.format("greatest(a, b)")}) AS y,
+         CASE WHEN t = '' OR contains(t, '{fim.PREFIX}') OR contains(t, '{fim.SUFFIX}') OR contains(t, '{fim.MIDDLE}') OR c >= 50 THEN 'plain'
+              WHEN k < 80 THEN 'spm' ELSE 'psm' END AS form FROM e
+), g AS (
+  SELECT *, substr(t, 1, x) AS pre, substr(t, x + 1, y - x) AS mid, substr(t, y + 1) AS suf FROM f
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(x AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(y - x AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '{fim.PREFIX}' || pre || '{fim.SUFFIX}' || suf || '{fim.MIDDLE}' || mid
+                   ELSE '{fim.SUFFIX}' || suf || '{fim.PREFIX}' || pre || '{fim.MIDDLE}' || mid END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM g
+"""

@@ -1,4 +1,4 @@
-"""The operators over the sample tables, as the queries op1 to op10 and the pipeline."""
+"""The operators over the sample tables, as the queries op1 to op13 and the pipeline."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, langid, licenses, packing, sharding, simhash, topk, toxicity, urls
+from . import bpe, chat, decontaminate, divergence, fim, langid, licenses, packing, sharding, simhash, topk, toxicity, urls
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -110,3 +110,45 @@ def op9_sharding(spark, folder):
 def op10_urls(spark, folder):
     pages = table(spark, folder, "pages").select("page_id", "url")
     return urls.judge(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict", "evidence")
+
+
+@query
+def op11_divergence(spark, folder):
+    return divergence.audit(table(spark, folder, "documents"))
+
+
+def multilingual() -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+
+
+@query
+def op12_bpe(spark, folder):
+    import public_tokenizers
+
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    encoded = bpe.encode(docs, multilingual(), public_tokenizers.PATTERN).drop("text")
+    decoded = bpe.decode(encoded, multilingual())
+    digest = F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256)
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        digest.alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+@query
+def op13_fim(spark, folder):
+    made = fim.transform(table(spark, folder, "documents").select("doc_id", "text"), seed=42)
+    restored = fim.restored(F.col("output"), F.col("form"))
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(restored.cast("binary"), 256).alias("restored_sha256"),
+    )
