@@ -3,14 +3,15 @@
 Encoding. Merges by rank have a local rule: a token sequence is the encoding of its bytes exactly if each
 two neighbours t, u are the encoding of the bytes of t and u (no merge can cross a border that it doesn't
 cross when only its two neighbours are there). So the encoding is the run of a nondeterministic
-transducer: its states are a last token t and a place in the vocabulary's prefix tree, and it may end a
+transducer: a thread has read a place in the vocabulary's prefix tree since a last token t, and may end a
 token u wherever the tree has one and (t, u) fit. At each byte exactly one thread ends a token, since
 every prefix has one encoding; the others read on.
 
-The transducer is determinised while it runs: a deterministic state is the set of threads, each with the
-tokens it has not emitted yet, and is made when an input byte first asks for it. Tokens on which all
-threads agree are emitted. A thread lives for the length of the longest token at most, so the lookahead
-is bounded by the vocabulary, not by the text.
+The threads' places are determinised while the transducer runs: a state is the set of places, and is made
+when an input byte first asks for it. The finite memory beside it holds the tokens that ended at the
+last bytes, as far back as the longest token reaches; they say which of a state's candidates ended here.
+A token is emitted once all living threads descend from it. A thread lives for the length of the longest
+token at most, so the lookahead is bounded by the vocabulary, not by the text.
 
 Texts are cut into pieces by the vocabulary's pattern first, as ranks hold within a piece. A piece that is
 itself in the vocabulary is that token, also if no merges lead to it.
@@ -22,6 +23,7 @@ and emits the characters it completes, so a stream of ids can be shown as it com
 from __future__ import annotations
 
 import codecs
+from array import array
 from base64 import b64decode
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -38,40 +40,44 @@ from .common import append, quoted, text_bytes
 
 #: Characters of a text that are cut into pieces at once.
 STRETCH = 1 << 20
-#: Deterministic states and decoder steps that a worker keeps; beyond, it begins anew.
-STATES, STEPS = 100_000, 500_000
+#: States, judged pairs of tokens, and decoder steps that a worker keeps; beyond, it begins anew.
+STATES, PAIRS, STEPS = 50_000, 400_000, 200_000
 #: Pieces whose ids are remembered, in each of two generations, and their longest.
-PIECES, LONGEST = 200_000, 32
-
+PIECES, LONGEST = 150_000, 32
+#: Bytes of a long piece after which agreed tokens are emitted.
+LOOK = 4096
 #: A character that is neither letter, digit nor white space (private use).
 OTHER = "\ue000"
 
-_END, _THREADS = -1, -2  # keys of a state besides the 256 bytes
+_ENDS, _PLACES, _UNFINISHED = -1, -2, -3  # keys of a state besides bytes or ids
 _START = -1  # the last token before the first
 _NEVER = 1 << 40  # above all ranks
 
 
 class Transducer:
-    """Encodes the bytes of single pieces."""
+    """Encodes the bytes of single pieces by merges alone."""
 
-    def __init__(self, ranks: dict[bytes, int], states: int = STATES) -> None:
+    def __init__(self, ranks: dict[bytes, int]) -> None:
         if any(bytes([b]) not in ranks for b in range(256)):
             raise ValueError("the vocabulary lacks single bytes")
-        self.ranks, self.limit = ranks, states
+        self.ranks = ranks
         self.words = {number: word for word, number in ranks.items()}
         self.children: list[dict[int, int]] = [{}]
         self.token: list[int | None] = [None]
+        self.depth = [0]
         for word, number in ranks.items():
             node = 0
             for byte in word:
-                node = self.children[node].setdefault(byte, len(self.children))
+                above, node = node, self.children[node].setdefault(byte, len(self.children))
                 if node == len(self.children):
                     self.children.append({})
                     self.token.append(None)
+                    self.depth.append(self.depth[above] + 1)
             self.token[node] = number
         self.sides: dict[int, tuple[list, list] | None] = {}
-        self.states: dict[tuple, dict] = {}
-        self.start = self.state(((_START, 0, ()),), ())
+        self.pairs: dict[tuple[int, int], bool] = {}
+        self.states: dict[tuple[int, ...], dict] = {}
+        self.start = self.state((0,))
 
     def merged(self, data: bytes, left: list | None = None, right: list | None = None) -> tuple[list[bytes], bool]:
         """Merges by rank, the leftmost of the lowest first, for the bytes of one or two tokens; and
@@ -124,54 +130,73 @@ class Transducer:
             else:
                 j += 1
 
-    def state(self, threads: tuple, end: tuple[int, ...]) -> dict:
-        found = self.states.get((threads, end))
+    def judged(self, last: int, token: int) -> bool:
+        """:meth:`fit`, remembered."""
+        if len(self.pairs) >= PAIRS:
+            self.pairs.clear()
+        found = self.pairs[last, token] = self.fit(last, token)
+        return found
+
+    def state(self, places: tuple[int, ...]) -> dict:
+        """The state of a set of places, the deepest first."""
+        found = self.states.get(places)
         if found is None:
-            if len(self.states) >= self.limit:
+            if len(self.states) >= STATES:
                 self.states.clear()
-                self.start = self.state(((_START, 0, ()),), ())
-            found = self.states[threads, end] = {_THREADS: threads, _END: end}
+                self.start = self.state((0,))
+            ends = tuple((self.token[p], self.depth[p]) for p in places if self.token[p] is not None)
+            found = self.states[places] = {_PLACES: places, _ENDS: ends}
         return found
 
-    def step(self, state: dict, byte: int) -> tuple[dict, tuple[int, ...]]:
-        """The state after one more byte, and what is emitted on the way; made once."""
-        threads, ended, whole = [], None, None
-        for last, node, pending in state[_THREADS]:
-            node = self.children[node].get(byte)
-            if node is None:
-                continue
-            token = self.token[node]
-            unmerged = False
-            if token is not None:
-                if self.fit(last, token):
-                    ended = (token, 0, (*pending, token))
-                elif last == _START:  # counts only if the piece ends here; until then nothing is emitted
-                    whole, unmerged = token, True
-            if unmerged or self.children[node]:
-                threads.append((last, node, pending))
-        threads.append(ended)
-        agreed = 0
-        for same in zip(*(pending for _, _, pending in threads)):
-            if len(set(same)) > 1:
-                break
-            agreed += 1
-        emitted = ended[2][:agreed]
-        rest = tuple((last, node, pending[agreed:]) for last, node, pending in threads)
-        end = (whole,) if whole is not None else ended[2][agreed:]
-        found = state[byte] = (self.state(rest, end), emitted)
+    def step(self, state: dict, byte: int) -> dict:
+        """The state after one more byte; made once."""
+        moved = [self.children[place].get(byte) for place in state[_PLACES]]
+        found = state[byte] = self.state((*(place for place in moved if place is not None), 0))
         return found
 
-    def encode(self, piece: bytes, out: list[int]) -> None:
-        """Append the ids of one piece."""
-        state = self.start
+    def agreed(self, state: dict, ended: list[int]) -> int:
+        """The last offset at which all living threads have ended a token."""
+        starts = {len(ended) - 1 - self.depth[place] for place in state[_PLACES]}
+        while len(starts) > 1:
+            last = max(starts)
+            starts.remove(last)
+            starts.add(last - len(self.words[ended[last]]))
+        return starts.pop()
+
+    def emit(self, ended: list[int], end: int) -> list[int]:
+        """The tokens up to an offset."""
+        out = []
+        while end > 0:
+            out.append(ended[end])
+            end -= len(self.words[ended[end]])
+        return out[::-1]
+
+    def stream(self, piece: bytes) -> Iterator[list[int]]:
+        """The ids of one piece, as soon as they are certain, but not oftener than every ``LOOK`` bytes."""
+        state, pairs = self.start, self.pairs
+        ended = [_START]  # by offset, from the last token that was emitted on
         for byte in piece:
-            known = state.get(byte)
-            if known is None:
-                known = self.step(state, byte)
-            state, emitted = known
-            if emitted:
-                out += emitted
-        out += state[_END]
+            state = state.get(byte) or self.step(state, byte)
+            ends = state[_ENDS]
+            if len(ends) > 1:
+                for token, length in ends:  # one of them fits, so the last needs no look
+                    if length == 1:
+                        break
+                    last = ended[-length]
+                    fits = pairs.get((last, token))
+                    if fits or fits is None and self.judged(last, token):
+                        break
+            else:
+                ((token, _),) = ends
+            ended.append(token)
+            if len(ended) > LOOK:
+                end = self.agreed(state, ended)
+                yield self.emit(ended, end)
+                del ended[:end]
+        yield self.emit(ended, len(ended) - 1)
+
+    def encode(self, piece: bytes) -> list[int]:
+        return list(chain.from_iterable(self.stream(piece)))
 
 
 def stretches(text: str) -> Iterator[str]:
@@ -199,8 +224,8 @@ class Encoder:
         self.pattern = regex.compile(pattern)
         self.others = dict.fromkeys(map(ord, others), OTHER)
         self.unsure = frozenset(others)
-        self.recent: dict[str, list[int]] = {}
-        self.older: dict[str, list[int]] = {}
+        self.recent: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def pieces(self, text: str) -> Iterable[str]:
         if not text.isascii() and not self.unsure.isdisjoint(text):
@@ -210,28 +235,22 @@ class Encoder:
             return self.pattern.findall(text)
         return (m.group() for m in self.pattern.finditer(text))
 
-    def stream(self, text: str) -> Iterator[list[int]]:
-        """The ids of a text, stretch by stretch."""
+    def stream(self, text: str) -> Iterator[bytes]:
+        """The ids of a text as 32-bit numbers, stretch by stretch."""
         for part in stretches(text):
-            out: list[int] = []
-            known = self.recent
-            for piece in self.pieces(part):
-                ids = known.get(piece)
-                if ids is None:
-                    ids = self.ids(piece)
-                    known = self.recent
-                out += ids
-            yield out
-
-    def ids(self, piece: str) -> list[int]:
+            pieces = list(self.pieces(part))
+            found: list[bytes | None] = list(map(self.recent.get, pieces))
+            if None in found:
+                found = [self.ids(piece) if ids is None else ids for piece, ids in zip(pieces, found)]
+            yield b"".join(found)
+
+    def ids(self, piece: str) -> bytes:
         """The ids of a piece that was not among the recent ones."""
-        ids = self.older.get(piece)
+        ids = self.recent.get(piece) or self.older.get(piece)
         if ids is None:
-            data, ids = piece.encode(), []
-            if data in self.transducer.ranks:
-                ids.append(self.transducer.ranks[data])
-            else:
-                self.transducer.encode(data, ids)
+            data = piece.encode()
+            whole = self.transducer.ranks.get(data)
+            ids = array("i", self.transducer.encode(data) if whole is None else [whole]).tobytes()
         if len(piece) <= LONGEST:
             if len(self.recent) >= PIECES:
                 self.older, self.recent = self.recent, {}
@@ -255,12 +274,12 @@ class Decoder:
         self.now = self.state(b"")
 
     def state(self, unfinished: bytes) -> dict:
-        return self.states.setdefault(unfinished, {_END: unfinished})
+        return self.states.setdefault(unfinished, {_UNFINISHED: unfinished})
 
     def step(self, state: dict, number: int) -> tuple[str, dict]:
         if number not in self.words:
             raise ValueError(f"no token has the id {number}")
-        self.machine.setstate((state[_END], 0))
+        self.machine.setstate((state[_UNFINISHED], 0))
         made = self.machine.decode(self.words[number])
         unfinished = self.machine.getstate()[0]
         self.learnt += 1
@@ -283,7 +302,7 @@ class Decoder:
 
     def finish(self) -> str:
         """What an unfinished sequence at the end is shown as."""
-        return self.now[_END].decode("utf-8", "replace")
+        return self.now[_UNFINISHED].decode("utf-8", "replace")
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -340,9 +359,9 @@ def encode(docs: DataFrame, ranks: str, pattern: str, text: str = "text", ids: s
         own = encoder(ranks, pattern, others)
 
         def step(texts: pa.Array):
-            found = [np.fromiter(chain.from_iterable(own.stream(t.decode("utf-8", "replace"))), np.int32) for t in texts.to_pylist()]
-            ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
-            return [pa.ListArray.from_arrays(ends, np.concatenate(found))]
+            found = [b"".join(own.stream(t.decode("utf-8", "replace"))) for t in texts.to_pylist()]
+            ends = np.cumsum([0, *(len(ids) // 4 for ids in found)], dtype=np.int32)
+            return [pa.ListArray.from_arrays(ends, np.frombuffer(b"".join(found), np.int32))]
 
         return step
 
@@ -350,17 +369,21 @@ def encode(docs: DataFrame, ranks: str, pattern: str, text: str = "text", ids: s
 
 
 def decode(frame: DataFrame, ranks: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
-    """``frame`` with the text of the ids as ``text``; null ids count as none. A column named like
-    ``text`` is replaced."""
+    """``frame`` with the text of the ids as ``text``; null ids count as none, nulls among them are
+    skipped. A column named like ``text`` is replaced."""
 
     def make():
         own = decoder(ranks)
 
-        def one(numbers) -> str:
+        def one(numbers: np.ndarray) -> str:
             own.begin()
-            return own.feed(numbers) + own.finish()
+            return own.feed(numbers.tolist()) + own.finish()
 
-        return lambda arrays: [pa.array([one(numbers) for numbers in arrays.to_pylist()], pa.string())]
+        def step(arrays: pa.ListArray):
+            numbers, ends = arrays.values.to_numpy(zero_copy_only=False), arrays.offsets.to_numpy()
+            return [pa.array([one(numbers[a:b]) for a, b in zip(ends, ends[1:])], pa.string())]
+
+        return step
 
-    empty = F.coalesce(quoted(ids), F.array().cast("array<int>"))
-    return append(frame, [empty], T.StructType([T.StructField(text, T.StringType(), False)]), make)
+    some = F.array_compact(F.coalesce(quoted(ids), F.array().cast("array<int>")))
+    return append(frame, [some], T.StructType([T.StructField(text, T.StringType(), False)]), make)
