@@ -16,7 +16,7 @@ from ..sources import bronze as landing
 from ..sources.tables import export_csv, read_table, write_table
 from . import checks, gold, kpi, silver
 
-METRICS_SCHEMA = "stage string, object string, row_count bigint, seconds double, status string"
+METRICS_SCHEMA = "stage string, object string, row_count bigint, seconds double, status string, rows_in bigint, logged bigint"
 
 
 @dataclass
@@ -28,6 +28,7 @@ class Run:
     batch_id: str
     brand: str = ""
     rows: list[tuple] = field(default_factory=list)
+    files: DataFrame | None = None
 
     def path(self, layer: str, name: str) -> str:
         return f"{self.warehouse}/{layer}/{name}"
@@ -35,40 +36,56 @@ class Run:
     def table(self, layer: str, name: str) -> DataFrame:
         return read_table(self.spark, self.path(layer, name))
 
-    def save(self, layer: str, name: str, df: DataFrame, partition_by: str | None = None) -> DataFrame:
-        """Write a table and count its rows in the same job."""
+    def save(
+        self, layer: str, name: str, df: DataFrame, partition_by: str | None = None, rows_in: int | None = None
+    ) -> DataFrame:
+        """Write a table and count its rows in the same job; ``rows_in`` is what it was made from."""
         seen = Observation()
         began = time.monotonic()
         write_table(df.observe(seen, F.count(F.lit(1)).alias("n")), self.path(layer, name), partition_by)
-        self.rows.append((layer, name, seen.get["n"], time.monotonic() - began, "written"))
+        self.rows.append((layer, name, seen.get["n"], time.monotonic() - began, "written", rows_in, None))
         return self.table(layer, name)
 
+    def save_logs(self, logs: dict[str, DataFrame]) -> DataFrame:
+        """Write the quarantine from the logs of several tables, and count each of them, in one job."""
+        seen = {name: Observation(f"logged {name}") for name in logs}
+        counted = [log.observe(seen[name], F.count(F.lit(1)).alias("n")) for name, log in logs.items()]
+        stored = self.save("silver", "quarantine", collect_quarantine(counted))
+        n = {name: o.get["n"] for name, o in seen.items()}
+        self.rows = [(*r[:6], n[r[1]]) if r[0] == "silver" and r[1] in n else r for r in self.rows]
+        return stored
+
     def metrics(self) -> DataFrame:
-        """Rows and seconds per written object, and the files landed, skipped and ignored."""
-        return self.spark.createDataFrame(self.rows, METRICS_SCHEMA)
+        """Rows in, rows out, logged rows and seconds per written object, and the files landed, skipped
+        and ignored."""
+        written = self.spark.createDataFrame(self.rows, METRICS_SCHEMA)
+        if self.files is None:
+            return written
+        landed = self.files.select(F.lit("bronze").alias("stage"), F.col("file_name").alias("object"), "row_count", "status")
+        return written.unionByName(landed, allowMissingColumns=True)
 
 
 def land(run: Run, folder: str) -> dict[str, DataFrame]:
     began = time.monotonic()
     report = landing.land(run.spark, folder, run.warehouse, run.batch_id)
-    took = time.monotonic() - began
-    run.rows += [("bronze", f, n, took, "loaded") for f, n in sorted(report.loaded.items())]
-    run.rows += [("bronze", f, None, took, "skipped") for f in report.skipped]
-    run.rows += [("bronze", f, None, took, "ignored") for f in report.ignored]
+    run.files = report.files
+    total = report.files.agg(F.coalesce(F.sum("row_count"), F.lit(0))).first()[0]
+    run.rows.append(("bronze", "landing", total, time.monotonic() - began, "landed", None, None))
     return {t: landing.read_bronze(run.spark, run.warehouse, t) for t in model.SOURCE_SYSTEMS}
 
 
 def clean(run: Run, bronze: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    tables, logs = {}, []
+    tables, logs = {}, {}
     current = {monthly: name for name, monthly in silver.CURRENT_TABLES.items()}
+    landed = {r.table_name: r.row_count for r in landing.table_counts(run.spark, run.warehouse).collect()}
     for name, (source, cleaner) in silver.CLEANERS.items():
         cleaned = cleaner(bronze[source])
-        tables[name] = run.save("silver", name, cleaned.rows)
+        tables[name] = run.save("silver", name, cleaned.rows, rows_in=landed[source])
         if cleaned.current is not None:
             tables[current[name]] = run.save("silver", current[name], cleaned.current)
         if cleaned.quarantine is not None:
-            logs.append(cleaned.quarantine)
-    tables["quarantine"] = run.save("silver", "quarantine", collect_quarantine(logs))
+            logs[name] = cleaned.quarantine
+    tables["quarantine"] = run.save_logs(logs)
     return tables
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import model
+from . import quoted
 
 # takes the cells of a row that has more than its header
 OVERLONG = "_overlong"
@@ -19,10 +20,17 @@ def listing(spark: SparkSession, folder: str) -> DataFrame:
     """CSV files of a folder with the table, year and month their names carry.
 
     ``status`` is ``ignored`` for names outside the pattern and for unknown tables. File
-    content is not read, as only path and length are selected. Files of no bytes are not listed.
+    content is not read, as only path, length and time are selected. Files of no bytes are not listed.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(folder)
-    return name_parts(files.select("path", "length", F.element_at(F.split("path", "/"), -1).alias("file_name")))
+    return name_parts(described(files))
+
+
+def described(files: DataFrame) -> DataFrame:
+    """What a listing tells of files without reading them."""
+    return files.select(
+        "path", "length", F.col("modificationTime").alias("modified"), F.element_at(F.split("path", "/"), -1).alias("file_name")
+    )
 
 
 def name_parts(files: DataFrame) -> DataFrame:
@@ -97,31 +105,33 @@ def header_columns(spark: SparkSession, path: str) -> list[str]:
     return spark.read.option("header", True).option("escape", '"').csv(path).columns
 
 
-def read_extract(spark: SparkSession, columns: Sequence[str], multi_line: bool, paths: Sequence[str]) -> DataFrame:
+#: How cells are quoted in extracts.
+CELLS = {"escape": '"', "emptyValue": ""}
+
+
+def read_extract(spark: SparkSession, columns: Sequence[str], open_quotes: bool, paths: Sequence[str]) -> DataFrame:
     """Files that share one header as text columns; empty cells are NULL, "NA" stays text.
 
     Rows with fewer cells than the header are filled up with NULL. A row with more cells stops the
     read with the file's name, as values would be lost otherwise. ``_row_seq`` keeps the order of the
-    rows within a file.
+    rows within a file. Files with line breaks in quoted cells (``open_quotes``) are put together from
+    lines, see :mod:`quoted`; either way a large file is read by many tasks.
     """
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in (*columns, OVERLONG)])
-    rows = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("multiLine", multi_line)
-        .option("escape", '"')
-        .option("emptyValue", "")
-        .csv(list(paths))
-    )
-    name = F.col("_metadata.file_name")
-    more = F.raise_error(F.concat(F.lit("a row has more cells than the header in "), name)).cast("string")
-    first, *others = [F.nullif(F.col(f"`{c}`"), F.lit("")) for c in columns]
+    cells = [f"c{i}" for i in range(len(columns))]
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in (*cells, OVERLONG)])
+    if open_quotes:
+        found = quoted.records(spark, paths)
+        headers = found.groupBy("file_name").agg(F.min("record").alias("header"))
+        rows = found.join(headers, "file_name").filter(F.col("record") > F.col("header"))
+        parsed = F.from_csv("value", schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "), CELLS)
+        rows = rows.select(F.col("file_name").alias("_source_file"), F.col("record").alias("_row_seq"), parsed.alias("p")).select("_source_file", "_row_seq", "p.*")
+    else:
+        read = spark.read.schema(schema).option("header", True).options(**CELLS).csv(list(paths))
+        rows = read.select("*", F.col("_metadata.file_name").alias("_source_file"), F.monotonically_increasing_id().alias("_row_seq"))
+    more = F.raise_error(F.concat(F.lit("a row has more cells than the header in "), F.col("_source_file"))).cast("string")
+    first, *others = [F.nullif(F.col(c), F.lit("")) for c in cells]
     checked = F.when(F.col(OVERLONG).isNull(), first).otherwise(more)
-    return rows.select(
-        *[c.alias(n) for n, c in zip(columns, (checked, *others))],
-        name.alias("_source_file"),
-        F.monotonically_increasing_id().alias("_row_seq"),
-    )
+    return rows.select(*[c.alias(n) for n, c in zip(columns, (checked, *others))], "_source_file", "_row_seq")
 
 
 def drift_union(parts: Sequence[DataFrame]) -> DataFrame:
@@ -140,7 +150,7 @@ def stamp(rows: DataFrame, table: str, batch_id: str) -> DataFrame:
     )
 
 
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete one file, wherever Spark can reach it."""
+def remove(spark: SparkSession, path: str, folder: bool = False) -> None:
+    """Delete one file, or a folder with all it holds, wherever Spark can reach it."""
     file = spark._jvm.org.apache.hadoop.fs.Path(path)
-    file.getFileSystem(spark._jsc.hadoopConfiguration()).delete(file, False)
+    file.getFileSystem(spark._jsc.hadoopConfiguration()).delete(file, folder)

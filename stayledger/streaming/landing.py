@@ -8,7 +8,6 @@ corrected file under an old name is only picked up by the batch run, which compa
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..sources import bronze, files
@@ -19,7 +18,7 @@ LISTING = "path string, modificationTime timestamp, length bigint, content binar
 def arrivals(spark: SparkSession, folder: str) -> DataFrame:
     """New CSV files of a folder as a stream of names and paths; contents are not read."""
     found = spark.readStream.format("binaryFile").schema(LISTING).option("pathGlobFilter", "*.csv").load(folder)
-    return found.select("path", "length", F.element_at(F.split("path", "/"), -1).alias("file_name"))
+    return files.described(found)
 
 
 def land_stream(spark: SparkSession, folder: str, warehouse: str) -> StreamingQuery:

@@ -1086,5 +1086,6 @@ oracle(
     "'o_orderkey,o_custkey,o_orderstatus,o_totalprice,o_orderdate,extra'), ('notes_2025_01.csv', NULL, NULL)) AS v(file_name, st, columns)) "
     "SELECT CAST(run AS INTEGER) AS run, file_name, CASE WHEN st IS NULL THEN 'ignored' WHEN run = 0 OR (run = 2 AND st = 'F') "
     "THEN 'loaded' ELSE 'skipped' END AS status, CASE WHEN st IS NOT NULL THEN (SELECT count(*) FROM orders WHERE o_orderstatus = st) END "
-    "AS row_count, columns, (SELECT count(*) FROM orders) AS table_rows FROM f, (VALUES (0), (1), (2)) AS r(run)",
+    "AS row_count, columns, (SELECT count(*) FROM orders) AS table_rows, CAST(CASE run WHEN 0 THEN 3 WHEN 1 THEN 0 ELSE 1 END AS BIGINT) "
+    "AS files_read, run <> 1 AS read_any FROM f, (VALUES (0), (1), (2)) AS r(run)",
 )

@@ -931,12 +931,11 @@ def views_by_sql(s):
 @query
 def replace_by_file(s):
     """Land reviews by file, land corrected 1997 files again, and read the table back."""
-    path = scratch(s, "replace")
-    rows = sh.raw_reviews(s)
-    bronze.replace_by_file(files.stamp(rows, "gbp_reviews", "first"), path)
+    warehouse, rows = scratch(s, "replace"), sh.raw_reviews(s)
+    bronze.replace_by_file(files.stamp(rows, "gbp_reviews", "first"), warehouse, "gbp_reviews")
     corrected = rows.filter(F.contains("_source_file", F.lit("_1997_"))).withColumn("rating", F.lit("1"))
-    bronze.replace_by_file(files.stamp(corrected, "gbp_reviews", "second"), path)
-    back = s.spark.read.schema(bronze.bronze_schema(["review_id", "rating"])).parquet(path)
+    bronze.replace_by_file(files.stamp(corrected, "gbp_reviews", "second"), warehouse, "gbp_reviews")
+    back = bronze.read_bronze(s.spark, warehouse, "gbp_reviews")
     return back.groupBy("_source_file", "_batch_id").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.col("rating") == "1").alias("ones")
     ).withColumnsRenamed({"_source_file": "source_file", "_batch_id": "batch_id"})
@@ -1007,8 +1006,8 @@ def landing_rows(s):
 
 @query
 def landing_registry(s):
-    """What each of three landings did with each file: the same folder again, then with the rows of one
-    file in another order."""
+    """What each of three landings did with each file, and how many files it read: the same folder again,
+    of which nothing is read, then with the rows of one file in another order."""
     folder, warehouse = scratch(s, "incoming"), scratch(s, "landed")
     order_extracts(s, folder)
     runs = [bronze.land(s.spark, folder, warehouse, str(i)) for i in range(2)]
@@ -1016,11 +1015,10 @@ def landing_registry(s):
     turned = s.orders.filter("o_orderstatus = 'F'").orderBy(F.desc("o_orderkey"))
     as_extract(turned.select(*[F.col(c).cast("string").alias(c) for c in ORDER_COLUMNS]), folder, "hubspot_leads_2025_01.csv")
     runs.append(bronze.land(s.spark, folder, warehouse, "2"))
-    seen = [(i, n, what) for i, r in enumerate(runs) for what in ("loaded", "skipped", "ignored") for n in getattr(r, what)]
+    done = [r.files.select(F.lit(i).alias("run"), "file_name", "status", F.lit(r.files_read).cast("bigint").alias("files_read"), F.lit(r.bytes_read > 0).alias("read_any")) for i, r in enumerate(runs)]
     counted = bronze.registry(s.spark, warehouse).select("file_name", "row_count", F.array_join("columns", ",").alias("columns"))
     total = bronze.table_counts(s.spark, warehouse).filter("row_count > 0").select(F.col("row_count").alias("table_rows"))
-    done = s.spark.createDataFrame(seen, "run int, file_name string, status string")
-    return done.join(counted, "file_name", "left").withColumn("table_rows", total.scalar())
+    return reduce(lambda a, b: a.unionByName(b), done).join(counted, "file_name", "left").withColumn("table_rows", total.scalar())
 
 
 @query
