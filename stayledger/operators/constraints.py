@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import model
+from . import temporal
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -44,22 +45,33 @@ def decimal_misfits(df: DataFrame, column: str, precision: int, scale: int) -> D
     )
 
 
-def star_violations(tables: dict[str, DataFrame]) -> DataFrame:
-    """Every violated key, reference and NOT NULL rule of the star schema: (table, rule, n)."""
+def star_violations(tables: dict[str, DataFrame], segments: DataFrame | None = None) -> DataFrame:
+    """Every violated key, reference and NOT NULL rule of the star schema: (table, rule, n).
+
+    ``segments`` are the pieces of stays that the daily fact was laid out from. With them, its key is
+    proven by testing neighbouring segments, and the references that a segment has are tested there, so
+    the daily rows are never shuffled.
+    """
     found = []
 
-    def add(df: DataFrame, table: str, rule: str) -> None:
+    def add(df: DataFrame, table: str, rule: str, n=F.count(F.lit(1))) -> None:
         found.append(
-            df.agg(F.count(F.lit(1)).alias("n")).select(
+            df.agg(F.coalesce(n, F.lit(0)).alias("n")).select(
                 F.lit(table).alias("table_name"), F.lit(rule).alias("rule"), "n"
             )
         )
 
     for table, df in tables.items():
         keys = model.PRIMARY_KEYS[table]
-        add(duplicate_keys(df, keys), table, f"unique ({', '.join(keys)})")
+        pieces = segments if table == "fact_resident_day" else None
+        unique = f"unique ({', '.join(keys)})"
+        if pieces is None:
+            add(duplicate_keys(df, keys), table, unique)
+        else:
+            add(temporal.repeated_days(pieces), table, unique, F.sum("days"))
         for column, dim, dim_key in model.FOREIGN_KEYS.get(table, []):
-            add(missing_references(df, column, tables[dim], dim_key), table, f"{column} references {dim}")
+            source = pieces if pieces is not None and column in pieces.columns else df
+            add(missing_references(source, column, tables[dim], dim_key), table, f"{column} references {dim}")
         nulls = null_counts(df, [*keys, *model.REQUIRED_COLUMNS.get(table, [])])
         found.append(
             nulls.select(

@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from .. import model
 from ..functions import calendar_columns, sql_round
+from ..session import staged
 from .keys import dense_key
 from .quality import first_per_key, holds
 
+
 def day(value: str | Column) -> Column:
     """A day given as ISO text or as an expression (a scalar subquery, for example)."""
     return F.to_date(F.lit(value)) if isinstance(value, str) else value
@@ -242,7 +244,8 @@ def as_of(facts: DataFrame, ranges: DataFrame, key: str, on: Column, take: Seque
 
     The equal key keeps this a hash or sort-merge join with a residual range test. A key that
     holds a large share of the facts is cut on the fact side by the adaptive skew split; where
-    only counts are needed, count per key and day before calling this.
+    only counts are needed, count per key and day before calling this. Facts of a key meet all its
+    ranges: for keys with very many of both use :func:`as_of_sorted`.
     """
     scd = ranges.select(
         F.col("resident_id").alias("_rid"),
@@ -254,6 +257,54 @@ def as_of(facts: DataFrame, ranges: DataFrame, key: str, on: Column, take: Seque
     return facts.join(scd, (F.col(key) == F.col("_rid")) & valid, "left").drop("_rid", "_from", "_to")
 
 
+def earlier_max(df: DataFrame, key: str, order: Sequence[Column], value: Column, name: str) -> DataFrame:
+    """``df`` with the largest ``value`` among the rows of the same key that come before a row in
+    ``order`` (which must tell rows apart); NULL keys are left out.
+
+    Rows are dealt by ranges of (key, order), so a key with most of the rows spreads over many tasks. Each
+    task finds the maxima within its range; what a key has reached at the end of a range is carried into
+    the next ones. Only one row per range passes through one task.
+    """
+    placed = df.filter(F.col(key).isNotNull()).withColumn("_value", value)
+    placed = placed.repartitionByRange(F.col(key).asc(), *order).withColumn("_part", F.spark_partition_id())
+    placed = staged(placed, "in-order")
+    inside = Window.partitionBy("_part", key).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    parts = placed.groupBy("_part").agg(F.max(F.struct(F.col(key).alias("key"), F.col("_value").alias("value"))).alias("last"))
+    upto = Window.partitionBy("last.key").orderBy("_part").rowsBetween(Window.unboundedPreceding, 0)
+    reached = parts.select("_part", "last.key", F.max("last.value").over(upto).alias("value"))
+    # a key that began in an earlier range is the last key of the range just before
+    before = Window.orderBy("_part")
+    entered = reached.select("_part", F.lag(F.struct("key", "value")).over(before).alias("_entered"))
+    carried = F.when(F.col("_entered.key") == F.col(key), F.col("_entered.value"))
+    found = placed.withColumn("_inside", F.max("_value").over(inside)).join(entered, "_part")
+    return found.withColumn(name, F.greatest("_inside", carried)).drop("_part", "_value", "_inside", "_entered")
+
+
+def as_of_sorted(facts: DataFrame, ranges: DataFrame, key: str, on: Column, take: Sequence[str]) -> DataFrame:
+    """As :func:`as_of`, for ranges of a key that don't overlap, as those of a type 2 history.
+
+    Facts and the beginnings of ranges are put in one order, and each fact takes the last beginning
+    before it (see :func:`earlier_max`); no fact meets more than one range, however many a key has.
+    Reversed ranges hold no day and are left out. Facts without key or date keep NULLs.
+    """
+    held = ranges.filter("effective_to is null or effective_to >= effective_from").filter("effective_from is not null")
+    dated = facts.withColumn("_on", on)
+    usable = F.col(key).isNotNull() & F.col("_on").isNotNull()
+    starts = held.select(
+        F.col(key).alias("_k"), F.col("effective_from").alias("_d"), F.lit(0).alias("_kind"), F.lit(0).cast("bigint").alias("_tie"),
+        F.struct(F.col("effective_from").alias("_from"), F.col("effective_to").alias("_to"), *take).alias("_held"),
+    )
+    row = F.struct(*facts.columns)
+    asked = dated.filter(usable).select(
+        F.col(key).alias("_k"), F.col("_on").alias("_d"), F.lit(1).alias("_kind"), F.xxhash64(*facts.columns).alias("_tie"), row.alias("_row")
+    )
+    both = starts.unionByName(asked, allowMissingColumns=True)
+    found = earlier_max(both, "_k", [F.col("_d").asc(), F.col("_kind").asc(), F.col("_tie").asc()], F.col("_held"), "_last").filter("_kind = 1")
+    valid = F.col("_last._to").isNull() | (F.col("_d") <= F.col("_last._to"))
+    looked_up = found.select("_row.*", *[F.when(valid, F.col(f"_last.{c}")).alias(c) for c in take])
+    return looked_up.unionByName(dated.filter(~usable).drop("_on"), allowMissingColumns=True)
+
+
 def prorate(leases: DataFrame, start: str | Column, end: str | Column) -> DataFrame:
     """Monthly revenue per lease: rate times active days over days in the month.
 
@@ -351,13 +402,42 @@ def overlap_pairs(
     )
     earlier = Window.partitionBy(key).orderBy("_d").rowsBetween(Window.unboundedPreceding, -1)
     still_open = F.coalesce(F.sum(F.col("_in") - F.col("_out")).over(earlier), F.lit(0)) - F.col("_out")
-    met = (F.col("_in") + F.col("_pt")) * F.col("_open") + F.col("_in") * (F.col("_in") - 1) / 2
-    pairs = daily.withColumn("_open", still_open).select(key, met.cast("bigint").alias("pairs"))
+    # in whole numbers: doubles would lose pairs from 2^53 on
+    met = (F.col("_in") + F.col("_pt")) * F.col("_open") + F.call_function("div", F.col("_in") * (F.col("_in") - 1), F.lit(2))
+    pairs = daily.withColumn("_open", still_open).select(key, met.alias("pairs"))
     if may_reverse:
         pairs = pairs.unionByName(containers(spans, key))
     return pairs.groupBy(key).agg(F.sum("pairs").alias("pairs")).filter("pairs > 0")
 
 
+def overlap_witnesses(df: DataFrame, key: str, id: str, start: str, end: str, closed: bool = False) -> DataFrame:
+    """(key, id, witness): every interval that overlaps one which begins no later, with the one of those
+    that ends last (of equal ends the largest ``id``).
+
+    Intervals are put in order by start, end and id, and the latest end so far is carried along (see
+    :func:`earlier_max`), so nothing is paired. An overlap between any two intervals makes the later of
+    them one of these rows. Open ends reach far ahead; empty and reversed intervals take no part.
+    """
+    tail = F.coalesce(F.col(end), day(model.OPEN_END))
+    spans = df.select(F.col(key), F.col(id), F.col(start).alias("_s"), (F.date_add(tail, 1) if closed else tail).alias("_e")).filter("_s < _e")
+    order = [F.col(c).asc() for c in ("_s", "_e", id)]
+    latest = F.struct(F.col("_e").alias("e"), F.col(id).alias("id"))
+    found = earlier_max(spans, key, order, latest, "_latest").filter(F.col("_latest.e") > F.col("_s"))
+    return found.select(key, id, F.col("_latest.id").alias("witness"))
+
+
+def repeated_days(segments: DataFrame, key: str = "resident_id") -> DataFrame:
+    """(key, days): how many days two or more of a key's closed segments [seg_start, seg_end] share, for
+    keys that have any. Days are not laid out: a segment shares with the ones before it the days up to
+    their latest end, and what it shares that earlier ones already did counts once."""
+    in_order = Window.partitionBy(key).orderBy("seg_start", "seg_end").rowsBetween(Window.unboundedPreceding, -1)
+    latest = F.max("seg_end").over(in_order)
+    shared = segments.withColumn("_latest", latest).withColumn("_upto", F.when(F.col("_latest").isNotNull(), F.least("_latest", "seg_end")))
+    counted = F.coalesce(F.date_add(F.max("_upto").over(in_order), 1), F.col("seg_start"))
+    days = F.datediff("_upto", F.greatest("seg_start", counted)) + 1
+    return shared.withColumn("_days", days).filter("_days > 0").groupBy(key).agg(F.sum("_days").alias("days"))
+
+
 # days are numbered from here within so many bits (some eleven thousand years)
 FIRST_DAY, DAY_BITS = "0001-01-01", 22
 

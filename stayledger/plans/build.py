@@ -102,7 +102,8 @@ def build_star(run: Run, tables: dict[str, DataFrame]) -> tuple[dict[str, DataFr
     }
     ranges = gold.dim_resident_care_level(tables["care_history"], tables["residents"])
     star["dim_resident_care_level"] = run.save("gold", "dim_resident_care_level", ranges)
-    days = gold.fact_resident_day(star["dim_resident"], star["dim_resident_care_level"], start, end)
+    segments = gold.census_segments(star["dim_resident"], star["dim_resident_care_level"], start, end)
+    days = temporal.census_days(run.save("meta", "census_segments", segments))
     days = days.withColumn("month_start", F.trunc("date_key", "MM"))
     stored = run.save("gold", "fact_resident_day", days, partition_by="month_start")
     star["fact_resident_day"] = stored
@@ -148,7 +149,8 @@ def execute(run: Run, folder: str, export_to: str | None = None, strict: bool =
     tables = clean(run, bronze)
     star, window = build_star(run, tables)
     if strict:
-        broken = constraints.star_violations(star).unionByName(lost_values(run, tables)).collect()
+        pieces = run.table("meta", "census_segments")
+        broken = constraints.star_violations(star, pieces).unionByName(lost_values(run, tables)).collect()
         if broken:
             raise ValueError("; ".join(f"{r.table_name}: {r.rule} ({r.n})" for r in broken))
     frames = kpi.kpi_frames({**star, "census_monthly": store_census(run, star)}, tables)

@@ -70,8 +70,12 @@ def dim_resident_care_level(history: DataFrame, residents: DataFrame) -> DataFra
 
 
 def fact_resident_day(residents: DataFrame, ranges: DataFrame, start, end) -> DataFrame:
-    segments = temporal.census_segments(residents, ranges, start, end)
-    return temporal.census_days(segments)
+    return temporal.census_days(census_segments(residents, ranges, start, end))
+
+
+def census_segments(residents: DataFrame, ranges: DataFrame, start, end) -> DataFrame:
+    """What the daily fact is laid out from: pieces of stays with one care level."""
+    return temporal.census_segments(residents, ranges, start, end)
 
 
 def fact_monthly_revenue(leases: DataFrame, start, end, into: Into = conform) -> DataFrame:

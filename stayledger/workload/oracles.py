@@ -649,6 +649,27 @@ oracle(
     "AND b.move_in_date < coalesce(a.move_out_date, DATE '2099-01-01') GROUP BY a.resident_id",
     "lease",
 )
+LEASE_SPANS = "SELECT resident_id, lease_id, move_in_date AS s, coalesce(move_out_date, DATE '2099-01-01') AS e FROM lease"
+oracle(
+    "lease_overlap_witnesses",
+    "SELECT a.resident_id, a.lease_id, arg_max(b.lease_id, {'e': b.e, 'i': b.lease_id}) AS earlier_lease_id "
+    f"FROM ({LEASE_SPANS}) a JOIN ({LEASE_SPANS}) b "
+    "ON a.resident_id = b.resident_id AND a.lease_id <> b.lease_id AND (b.s, b.e, b.lease_id) < (a.s, a.e, a.lease_id) "
+    "AND a.s < b.e AND b.s < a.e AND a.s < a.e AND b.s < b.e GROUP BY ALL",
+    "lease",
+)
+oracle(
+    "repeated_resident_days",
+    "SELECT resident_id, count(*) AS days FROM (SELECT resident_id, d FROM lease, "
+    "generate_series(move_in_date, coalesce(move_out_date, DATE '2099-01-01'), INTERVAL 1 DAY) AS x(d) GROUP BY ALL HAVING count(*) > 1) GROUP BY ALL",
+    "lease",
+)
+oracle(
+    "events_in_force",
+    "WITH f AS (SELECT user_id, CAST(ts AS DATE) AS d, max(event_type) AS held FROM events GROUP BY ALL) "
+    "SELECT event_id, e.user_id, f.held FROM events e LEFT JOIN f ON f.user_id = e.user_id AND f.d = "
+    "(SELECT max(g.d) FROM f g WHERE g.user_id = e.user_id AND g.d < CAST(e.ts AS DATE))",
+)
 oracle(
     "closed_overlap_pairs",
     "SELECT a.resident_id, count(*) AS pairs FROM lease a JOIN lease b ON a.resident_id = b.resident_id "

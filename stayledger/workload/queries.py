@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import model
@@ -357,7 +357,7 @@ def scd2_build(s):
 def scd2_point_in_time(s):
     """The care level held on the day of each incident."""
     facts = sh.incident_facts(s)
-    return temporal.as_of(facts, ranges(s), "resident_id", F.col("date_key"), ["care_level"]).select(
+    return temporal.as_of_sorted(facts, ranges(s), "resident_id", F.col("date_key"), ["care_level"]).select(
         "resident_id", "date_key", F.col("severity").cast("bigint").alias("severity"), "care_level"
     )
 
@@ -423,6 +423,34 @@ def lease_overlap_pairs(s):
     return temporal.overlap_pairs(sh.leases(s), "resident_id", "move_in_date", "move_out_date", may_reverse=False)
 
 
+@query
+def lease_overlap_witnesses(s):
+    """Each lease that overlaps an earlier one, with the earlier one that ends last."""
+    found = temporal.overlap_witnesses(sh.leases(s), "resident_id", "lease_id", "move_in_date", "move_out_date")
+    return found.withColumnRenamed("witness", "earlier_lease_id")
+
+
+@query
+def repeated_resident_days(s):
+    """Days that two or more leases of a customer share, end days included."""
+    pieces = sh.leases(s).select(
+        "resident_id", F.col("move_in_date").alias("seg_start"), F.coalesce("move_out_date", F.to_date(F.lit(model.OPEN_END))).alias("seg_end")
+    )
+    return temporal.repeated_days(pieces.filter("seg_start <= seg_end"))
+
+
+@query
+def events_in_force(s):
+    """Each event with the type of its user's last one of an earlier day: users have many of both, and the
+    ranges are the spans between a user's days of events."""
+    days = s.events.select("user_id", F.to_date("ts").alias("day"), "event_type")
+    first = days.groupBy("user_id", "day").agg(F.max("event_type").alias("held"))
+    later = F.lead("day").over(Window.partitionBy("user_id").orderBy("day"))
+    spans = first.select("user_id", F.date_add("day", 1).alias("effective_from"), later.alias("effective_to"), "held")
+    facts = s.events.select("event_id", "user_id", "ts")
+    return temporal.as_of_sorted(facts, spans, "user_id", F.to_date("ts"), ["held"]).select("event_id", "user_id", "held")
+
+
 @query
 def closed_overlap_pairs(s):
     """Stays of a customer that share at least one day, end days included."""

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import datetime as dt
 import random
+from collections import Counter
 from itertools import combinations
 
+import pytest
 from conftest import as_map, as_set
 from pyspark.sql import functions as F
 
 from stayledger import model
-from stayledger.operators import temporal
+from stayledger.operators import constraints, temporal
 from stayledger.operators.keys import dense_key
 
 BASE = dt.date(2024, 1, 1)
@@ -224,3 +226,85 @@ def test_analysis_window(rows):
 def test_reversed_month_spans_are_empty(rows):
     spans = rows([(on(40), on(3)), (None, on(3)), (on(3), on(3))], "a date, b date")
     assert as_set(temporal.explode_months(spans, "a", "b")) == {(on(3), on(3), BASE)}
+
+
+def test_sorted_lookup_with_a_hot_key(spark, rows):
+    rnd = random.Random(3)
+    start = dt.date(2000, 1, 1)
+    spans, facts = [], []
+    for key, n in (("hot", 1500), ("a", 5), ("b", 1), ("c", 0)):
+        at = 0
+        for i in range(n):
+            at += rnd.randrange(1, 4)
+            length = rnd.randrange(0, 2)
+            spans.append((key, start + dt.timedelta(at), start + dt.timedelta(at + length) if rnd.random() < 0.9 or i < n - 1 else None, f"{key}{i}"))
+            at += length
+        spans.append((key, start + dt.timedelta(at + 9), start + dt.timedelta(at), "reversed"))
+    spans += [(None, start, None, "no key"), ("a", None, None, "no start")]
+    for i in range(3000):
+        key = rnd.choice(["hot", "hot", "hot", "a", "b", "c", "other", None])
+        facts.append((i // 2, key, None if rnd.random() < 0.02 else start + dt.timedelta(rnd.randrange(-3, 4500))))
+    ranges = rows(spans, "k string, effective_from date, effective_to date, level string")
+    asked = rows(facts, "id int, k string, d date").repartition(7)
+    join = ranges.select(F.col("k").alias("resident_id"), "effective_from", "effective_to", "level")
+    wanted = temporal.as_of(asked, join, "k", F.col("d"), ["level"])
+    found = temporal.as_of_sorted(asked, ranges, "k", F.col("d"), ["level"])
+    assert found.columns == wanted.columns == ["id", "k", "d", "level"]
+    assert sorted(map(tuple, found.collect()), key=repr) == sorted(map(tuple, wanted.collect()), key=repr)
+
+
+@pytest.mark.parametrize("closed", [False, True])
+def test_overlap_witnesses_and_repeated_days(rows, closed):
+    rnd = random.Random(5)
+    start = dt.date(2020, 1, 1)
+    spans = []
+    for i in range(400):
+        s = rnd.randrange(0, 4000)
+        spans.append((rnd.choice(["hot", "hot", "hot", "a", "b", "c"]), i, start + dt.timedelta(s), start + dt.timedelta(s + rnd.randrange(-1, 25))))
+    spans += [("a", 900, start + dt.timedelta(3990), None), ("b", 901, None, start), (None, 902, start, None)]
+    df = rows(spans, "k string, id int, s date, e date")
+    found = {(r.k, r.id): r.witness for r in temporal.overlap_witnesses(df, "k", "id", "s", "e", closed).collect()}
+    far, extra = dt.date(2099, 1, 1), dt.timedelta(1 if closed else 0)
+    usable = [(k, s, (e or far) + extra, i) for k, i, s, e in spans if k and s and s < (e or far) + extra]
+    wanted = {}
+    for k, s, e, i in usable:
+        earlier = [(e2, i2) for k2, s2, e2, i2 in usable if k2 == k and (s2, e2, i2) < (s, e, i) and e2 > s]
+        if earlier:
+            wanted[k, i] = max(earlier)[1]
+    assert found == wanted and len(wanted) > 20
+    pieces = df.filter("s <= e").select("k", F.col("s").alias("seg_start"), F.col("e").alias("seg_end"))
+    days = Counter((k, s + dt.timedelta(n)) for k, _, s, e in spans if k and s and e for n in range((e - s).days + 1))
+    twice = Counter(k for (k, _), n in days.items() if n > 1)
+    assert {r.k: r.days for r in temporal.repeated_days(pieces, "k").collect() if r.k} == twice
+
+
+def test_pairs_are_counted_in_whole_numbers(rows):
+    day = dt.date(2020, 1, 1)
+    one = rows([("a", day, day + dt.timedelta(5))], "k string, s date, e date")
+    plan = temporal.overlap_pairs(one, "k", "s", "e")._jdf.queryExecution().optimizedPlan().toString()
+    assert " div 2" in plan and "as double" not in plan
+
+
+def test_daily_key_is_proven_on_segments(rows):
+    day = dt.date(2020, 1, 1)
+    seg = "resident_id string, community_id string, seg_start date, seg_end date, care_level_key long, care_level string"
+    good = [("R1", "C1", day, day + dt.timedelta(3), 1, "IL"), ("R1", "C1", day + dt.timedelta(4), day + dt.timedelta(9), 2, "AL")]
+    stars = {
+        "dim_date": rows([(day + dt.timedelta(i), *[1] * 4, "x", 1, "y", False) for i in range(30)], "date_key date, year int, quarter int, month int, day int, month_name string, week int, day_name string, is_weekend boolean"),
+        "dim_community": rows([("C1", "n", "s", "r")], "community_id string, community_name string, state string, region string"),
+        "dim_resident": rows([("R1", "C1")], "resident_id string, community_id string"),
+        "dim_resident_care_level": rows([(i, "R1", "IL", day, True) for i in (1, 2)], "care_level_key long, resident_id string, care_level string, effective_from date, is_current boolean"),
+    }
+
+    def broken(pieces):
+        segments = rows(pieces, seg)
+        days = temporal.census_days(segments)
+        needed = {**stars, "fact_resident_day": days}
+        wide = {t: df.withColumns({c: F.lit(1) for c in {*model.REQUIRED_COLUMNS.get(t, [])} - {*df.columns}}) for t, df in needed.items()}
+        both = [constraints.star_violations(wide, s).filter("table_name = 'fact_resident_day'") for s in (segments, None)]
+        found = [{(r.rule, r.n) for r in df.collect()} for df in both]
+        assert found[0] == found[1]
+        return found[0]
+
+    assert broken(good) == set()
+    assert broken([*good, ("R1", "C1", day + dt.timedelta(2), day + dt.timedelta(5), 1, "IL")]) == {("unique (date_key, resident_id)", 4)}
