@@ -433,7 +433,15 @@ oracle(
     "SELECT l_orderkey, l_linenumber, l_partkey, "
     "CASE WHEN l_linenumber NOT IN (2, 3, 4) THEN floor(l_extendedprice) END AS price FROM lineitem",
 )
-oracle("rate_from_dict_text", "SELECT shift_id, employee_id, hourly_rate AS rate FROM raw_shift", "raw_shift")
+# the rates that the maps in other notations hold, read by hand: number of the notation, role, rate
+RATES = "(1, 'A', 16.5), (2, 'A', 1000), (2, 'N', 16), (3, 'A', 1), (3, 'N', 21.5), (4, 'N', 21), (7, 'A', 8)"
+oracle(
+    "rate_from_dict_text",
+    "SELECT shift_id, employee_id, CASE WHEN CAST(split_part(shift_id, '-', 2) AS INTEGER) <= 2 OR CAST(employee_id AS BIGINT) % 8 = 0 "
+    f"THEN hourly_rate ELSE CAST(v.rate AS DOUBLE) END AS rate FROM raw_shift LEFT JOIN (VALUES {RATES}) AS v(form, role, rate) "
+    "ON v.form = CAST(employee_id AS BIGINT) % 8 AND v.role = raw_shift.role",
+    "raw_shift",
+)
 oracle(
     "rounding_rules",
     "SELECT l_orderkey, l_linenumber, l_partkey, round(x, 2) AS rounded, round_even(x, 2) AS to_even, "

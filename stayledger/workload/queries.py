@@ -108,9 +108,11 @@ def numeric_coerce(s):
 
 @query
 def rate_from_dict_text(s):
-    return sh.raw_shifts(s).select(
-        "shift_id", "employee_id", rate_for_role(F.col("hourly_rate"), F.col("role")).alias("rate")
-    )
+    """Rates by role from plain numbers, plain maps, and maps in any other notation."""
+    form = F.pmod(F.col("employee_id").cast("bigint"), F.lit(len(sh.RATE_FORMS))).cast("int")
+    other = F.get(F.array(*[F.lit(t) for t in sh.RATE_FORMS]), form)
+    text = F.when(F.startswith("hourly_rate", F.lit("{")) & (form > 0), other).otherwise(F.col("hourly_rate"))
+    return sh.raw_shifts(s).select("shift_id", "employee_id", rate_for_role(text, F.col("role")).alias("rate"))
 
 
 @query

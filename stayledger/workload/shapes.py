@@ -23,6 +23,11 @@ LEVEL_OF_STATUS = {"F": "AL", "O": "IL", "P": "MC"}
 SPELLINGS = ["IL", "independent", "Independent Living", "AL", "assisted ", "Assisted Living", "MC", " memory",
              "Memory Care", "Respite"]
 RATE_TEXT = "{'A': 16, 'N': 21}"
+# rate maps in other notations, by the employee's number modulo their count; the first stands for RATE_TEXT
+RATE_FORMS = [
+    "", "{'A': (16.5), 'N': [1, 2]}", "{'A': 1_000, 'N': 0x10}", "{'A': True, 'N': '2_1.5', 5: 6}",
+    r"{'it\'s': 3, 'N': 21}", "{'A': 4, 'N': foo}", "{'A': {'N': 1}, 'N': (7,)}", "{(1, 2): 3, 'A': 8}",
+]
 
 
 class Sample:

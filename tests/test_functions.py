@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import ast
 import datetime as dt
 import json
 import math
@@ -62,6 +63,40 @@ def test_rate_for_role(rows):
     assert found == [46.0, 46.5, None, 18.5, None, None, None, None, 38.5, None, 38.5, 2.0, None, 7.0, 12.0, None, None, 5.0, None]
 
 
+def python_rate(text, role):
+    """What Python's own literals and floats make of it."""
+    try:
+        return float(text)
+    except ValueError:
+        pass
+    try:
+        read = ast.literal_eval(text.strip())
+        value = float(read[role]) if isinstance(read, dict) and role in read else None
+    except (ValueError, SyntaxError, TypeError):
+        return None
+    return None if value is None or math.isnan(value) else value
+
+
+MAPS = [
+    "{'RN': (4)}", "{'RN': 4, 'B': [1,2]}", "{'RN': 4, 5: 6}", r"{'R\\'N': 5, 'RN': 4}", "{'RN': 1_000}", "{'RN': 0x10}", "{'RN': True}",
+    "{'RN': '1_000.5'}", "1_000", "1__000", "0x10", "{'RN': 0b101, 'X': 0o17}", "{'RN': -0X_ff}", "{'RN': 1__0}", "{'RN': 007}", "{'RN': .5}",
+    "{'RN': 1.e3}", "{'RN': ((4))}", "{'RN': (4,)}", "{'RN': (4, 5)}", "{'RN': ()}", "{'RN': [4]}", "{'RN': {'RN': 5}}", "{'A': {'RN': 5}}",
+    "{'A': {'RN': 5}, 'RN': 6}", "{'A': {1, 2}, 'RN': 6}", "{'A': {}, 'RN': 6}", "{'A': [], 'RN': 6}", "{'A': [1 2], 'RN': 6}", "{'A': [,], 'RN': 6}",
+    "{'A': [1,], 'RN': 6}", "{'RN': 4 5}", "{'RN' 4}", "{'RN': 4", "{'RN': 4}}", "{'RN': 4} x", "{'RN', 'A'}", "{'RN': 4, 'A'}", "{, 'RN': 4}", "{'RN':}",
+    "{'RN': foo}", "{'RN': 4, 'A': foo}", "{'A': (1, [2, {'x': (3)}]), 'RN': 7}", "{'A': (1, [2, {'x': (3}]), 'RN': 7}", "{'RN': 3, 'RN': (9)}",
+    "{'RN': (9), 'RN': 3}", "{'RN': 'x\\\\', 'A': 1}", "{'A': 'RN', 'RN': [1], 'B': 2}", "{'A': ':', 'RN': +4}", '{"RN": 0x1F, \'A\': "it\\\'s"}', "{'RN': False}",
+    "{'RN': 12e2, 'A': 1:2}", "{(1, 2): 3, 'RN': 8}", "{'RN': None, 'A': (1)}", "{'RN': 'abc', 'A': (1)}", "{'RN': '0x10', 'A': (1)}", "{}", "{'RN': 1, }", "{'RN': 'inf', 'A': (1)}",
+]
+
+
+def test_rates_in_any_literal(rows):
+    df = rows(list(enumerate(MAPS)), "i int, t string")
+    found = [r[1] for r in df.select("i", rate_for_role(F.col("t"), F.lit("RN"))).orderBy("i").collect()]
+    assert dict(zip(MAPS, found)) == {t: python_rate(t, "RN") for t in MAPS}
+    odd = rows([(r"{'R\'N': 5, 'B': (1)}", "R'N"), ("{'é': (2)}", "é"), ("{'RN': (2)}", None), (None, "RN")], "t string, role string")
+    assert [r[0] for r in odd.select(rate_for_role(F.col("t"), F.col("role"))).collect()] == [5.0, 2.0, None, None]
+
+
 def test_rounding(rows):
     values = [1.005, 0.285, 2.675, -1.005, 0.125, 2.5, -2.5, None]
     assert results(rows, values, lambda c: sql_round(c, 2), "double") == [
