@@ -37,6 +37,18 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def apart(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` under column names that no operator adds, and the new name of each column. What an
+    operator adds beside them leaves the documents' own columns alone; see :func:`together`."""
+    names = {c: f"__own{i}" for i, c in enumerate(docs.columns)}
+    return docs.toDF(*names.values()), names
+
+
+def together(kept: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` again, of rows that were set :func:`apart`."""
+    return kept.select(*[f"__own{i}" for i in range(len(docs.columns))]).toDF(*docs.columns)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: what follows starts from files that every
     executor can reach, so a lost executor costs no earlier step. See ``session.clear_staged``."""

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import WORD_TABLE, append, quoted, slices, text_bytes
+from .common import WORD_TABLE, apart, append, quoted, slices, text_bytes, together
 
 #: Words in a test string.
 WINDOW = 10
@@ -172,6 +172,7 @@ def find(
     return out.withColumns({"n_hit": n_hit, "n_items": F.size("items").cast("bigint"), "contaminated": F.size("spans") > 0})
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The documents without any hit word, all columns kept."""
-    return find(docs, benchmark, **options).where(~F.col("contaminated")).select(*[quoted(c) for c in docs.columns])
+def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
+    """The documents without any hit word, with all their columns as they are, whatever their names."""
+    own, name = apart(docs)
+    return together(find(own, benchmark, text=name[text], **options).where(~F.col("contaminated")), docs)

@@ -184,9 +184,12 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
 def predict(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
     """``docs`` with ``lang_pred``, ``score`` (its calibrated probability) and ``rejected``.
 
-    A null text, one without any letter, and every text without a model is ``und`` with score 0 and
-    rejected. A text whose score lies below the model's threshold keeps its most likely language and is
-    rejected. Columns with these names are replaced.
+    A null text and one without any letter is ``und`` with score 0 and rejected. Without a model every
+    text is ``und`` with score 0, and those with a letter are not rejected, as nothing speaks against
+    them. A text whose score lies below the model's threshold keeps its most likely language and is
+    rejected. Of equally likely languages the first by name is taken; repeated rows get the same values;
+    a very long text counts whole; an empty table gives an empty table. Columns with these names are
+    replaced.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS rows, one column per language
 
@@ -196,10 +199,11 @@ def predict(docs: DataFrame, model: Model | None, text: str = "text") -> DataFra
         def step(texts):
             names, scores, rejected = [], [], []
             for t in texts.to_pylist():
-                if known is None or not LETTER.search(t):
+                letter = LETTER.search(t) is not None
+                if known is None or not letter:
                     names.append(UNKNOWN)
                     scores.append(0.0)
-                    rejected.append(True)
+                    rejected.append(not letter)
                 else:
                     p = known.probabilities(subwords(t))
                     names.append(known.languages[int(p.argmax())])

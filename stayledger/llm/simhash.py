@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import append, quoted, slices, stage, text_bytes
+from .common import apart, append, quoted, slices, stage, text_bytes, together
 from .components import components
 
 SEED = 42
@@ -207,13 +207,13 @@ def representatives(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     """One row of each group of near-duplicates, with all columns: the one with the least key (a null
     key comes last); rows that share that key are told apart by a digest of the whole row, and equal
     rows count once."""
-    own = docs.columns
-    digest = F.xxhash64(*[quoted(c) for c in own if not isinstance(docs.schema[c].dataType, T.MapType)])
-    marked = docs.select(*[quoted(c) for c in own], digest.alias("__digest"))
-    grouped = near_duplicates(marked, key, text, shingle, max_bits, carry=["__digest"])
-    first = F.min(F.struct(quoted(key).isNull().alias("n"), quoted(key).alias("k"), F.col("__digest").alias("d")))
+    own, name = apart(docs)
+    told = [F.array_sort(F.map_entries(c)) if isinstance(own.schema[c].dataType, T.MapType) else F.col(c) for c in own.columns]
+    marked = own.withColumn("digest", F.xxhash64(*told))
+    grouped = near_duplicates(marked, name[key], name[text], shingle, max_bits, carry=["digest"])
+    first = F.min(F.struct(F.col(name[key]).isNull().alias("n"), F.col(name[key]).alias("k"), F.col("digest").alias("d")))
     chosen = stage(grouped.groupBy("group_fp").agg(first.alias("lead")).select("lead.k", "lead.d"), "simhash-leads")
     # equal rows are merged within each task before the shuffle, so many copies of one row don't meet
-    single = marked.dropDuplicates([key, "__digest"])
-    kept = single.join(chosen, quoted(key).eqNullSafe(F.col("k")) & (F.col("__digest") == F.col("d")), "left_semi")
-    return kept.select(*[quoted(c) for c in own])
+    single = marked.dropDuplicates([name[key], "digest"])
+    kept = single.join(chosen, F.col(name[key]).eqNullSafe(F.col("k")) & (F.col("digest") == F.col("d")), "left_semi")
+    return together(kept, docs)

@@ -69,6 +69,37 @@ def test_pipeline(spark):
     assert sum(r.length for r in packed) == sum(counts.values())
 
 
+def test_pipeline_keeps_clashing_columns_and_rows_without_labels(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(120)
+    odd = spark.createDataFrame([(9001, None, "en", "web"), (9002, "", None, None), (None, "a text without an id", "en", None), (9003, "9 8 7", "en", "web")], "doc_id long, text string, lang string, source string")
+    docs = docs.unionByName(odd, allowMissingColumns=True)
+    docs = docs.unionByName(docs.where("doc_id < 20"))
+    names = ["score", "rejected", "lang_pred", "near_ids", "near_cosines", "spans", "items", "n_words", "n_hit", "n_items", "contaminated",
+             "digest", "__digest", "fp", "k", "d", "h", "fingerprint", "component_id", "group_fp", "__in0", "ids", "start", "form"]
+    docs = docs.withColumns({n: F.concat(F.lit(f"{n} of "), F.col("doc_id").cast("string")) for n in names})
+    docs = docs.withColumn("a map", F.create_map(F.lit("id"), F.col("doc_id")))
+    common_folder = str(tmp_path)
+    spark.read.parquet(f"{FOLDER}/labels.parquet").write.parquet(f"{common_folder}/labels.parquet")
+    spark.read.parquet(f"{FOLDER}/benchmark.parquet").write.parquet(f"{common_folder}/benchmark.parquet")
+    docs = common.stage(docs, "clashing")
+    now = docs
+    for name, step in corpus_pipeline.STAGES[:-1]:
+        before, now = now, common.stage(step(spark, now, common_folder), name)
+        assert now.dtypes == docs.dtypes, name
+        rows = now.collect()
+        assert rows and all(r[n] == (None if r.doc_id is None else f"{n} of {r.doc_id}") and r["a map"] == {"id": r.doc_id} for r in rows for n in names), name
+        assert {r.doc_id for r in rows} <= {r.doc_id for r in before.collect()}
+    assert corpus_pipeline.packing(spark, now, common_folder).select("doc_id").distinct().count() == now.select("doc_id").distinct().count()
+    # without a label: only texts without a letter go
+    silent = docs.withColumn("lang", F.lit(None).cast("string"))
+    kept = corpus_pipeline.language(spark, silent, common_folder)
+    assert kept.count() == docs.where("rlike(text, '[A-Za-z]')").count()
+    spark.read.parquet(f"{FOLDER}/labels.parquet").limit(0).write.parquet(f"{tmp_path}/none/labels.parquet")
+    assert corpus_pipeline.toxic(spark, docs, f"{tmp_path}/none").count() == docs.count()
+
+
 def test_packing_query(spark):
     import zlib
 
