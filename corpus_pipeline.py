@@ -1,7 +1,12 @@
 """The corpus pipeline: language ID, toxicity, near-duplicates, benchmark decontamination, packing.
 
 Every stage takes (spark, docs, sf_dir) and returns what it keeps; all but the last return the columns
-of documents. :func:`run` writes each stage's result to the shared folder and reads it again.
+of documents, with the values they came with: what an operator adds stands beside them under names of
+its own and is left out again. :func:`run` writes each stage's result to the shared folder and reads it
+again.
+
+Every stage reads whole texts, however long, takes a null text as an empty one, keeps or drops repeated
+rows alike unless it says otherwise, and gives an empty table for an empty one.
 """
 
 from __future__ import annotations
@@ -10,35 +15,43 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayledger.llm import decontaminate, langid, queries, simhash, toxicity
-from stayledger.llm.common import quoted, stage, table
+from stayledger.llm.common import apart, stage, table, together
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a letter and those whose language is too uncertain."""
+    """Drops documents without a letter and those whose language is too uncertain. Null texts have no
+    letter and go. Equally likely languages are equally uncertain, whichever is named. A null ``lang`` is
+    not learnt from; if no text is labelled, only documents without a letter go."""
     model = langid.fit(docs, wanted=~langid.held_out())
-    kept = langid.predict(docs, model).where(~F.col("rejected"))
-    return kept.select(*[quoted(c) for c in docs.columns])
+    own, name = apart(docs)
+    return together(langid.predict(own, model, text=name["text"]).where(~F.col("rejected")), docs)
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents predicted to be toxic."""
+    """Drops documents predicted to be toxic: those scored ``queries.TOXIC_FROM`` or more. Null and empty
+    texts get the base share of toxic rows as their score; without toxic examples all stay. Null labels
+    and labels of null ids are not learnt from."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), wanted=~toxicity.held_out())
-    kept = toxicity.score(docs, model).where(F.col("score") < queries.TOXIC_FROM)
-    return kept.select(*[quoted(c) for c in docs.columns])
+    own, name = apart(docs)
+    return together(toxicity.score(own, model, text=name["text"]).where(F.col("score") < queries.TOXIC_FROM), docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group: the one with the smallest id."""
+    """Keeps one document of each group: the one with the smallest id, null ids last. Of rows with the
+    same id the one with the least digest of all its columns stays, of equal rows one. Null and empty
+    texts are one group."""
     return simhash.representatives(docs, shingle=queries.SHINGLE, max_bits=queries.MAX_BITS)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold a window of a benchmark item."""
+    """Drops documents that hold a window of a benchmark item. Null texts and items hold no windows;
+    without items all documents stay."""
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packs all that is left into sequences, mixed by source."""
+    """Packs all that is left into sequences, mixed by source; a null text is one end mark. Columns other
+    than id, text and source are not read."""
     return queries.packed(docs)
 
 
