@@ -31,7 +31,7 @@ from .tokens import encoder
 
 #: Tokens that a queue sends at a time.
 GRAIN = 512
-#: Queues of their own; the sources with the fewest tokens beyond that share one queue.
+#: Queues; of the sources without targets, those with the fewest tokens beyond that share one.
 QUEUES = 1024
 #: Bytes of texts or ids that are worked on at once.
 BATCH_BYTES = 4 << 20
@@ -124,18 +124,27 @@ def pack(
     ``tokenizer`` is the path of a tokenizer's file, ``ranks`` that of the same vocabulary as ranks, if
     there is one. ``targets`` gives the sources' proportions; a source that is not listed, and every source without
     ``targets``, gets its share of all tokens. A null source is a queue of its own. A null or empty
-    text is the closing id alone. Repeated rows are packed each. An empty table gives no pieces.
+    text is the closing id alone; a very long one is many pieces. Repeated rows are packed each. An empty
+    table gives no pieces. Other columns are not read.
+
+    Every source with a target has a queue of its own, then the largest of the others, up to ``queues``;
+    the rest share one. More targets than that, and a target that names no source, raise a ValueError.
     """
     spark = docs.sparkSession
     tokens = token_table(docs, key, text, queue, tokenizer, ranks, end_id)
     sums = tokens.groupBy("source", "part").agg(F.sum("n").alias("n"))
     by_source = sums.groupBy("source").agg(F.sum("n").alias("n"))
-    largest = [(r.source, r.n) for r in by_source.orderBy(F.desc("n"), "source").limit(queues).collect()]
+    share = {f"={k}": float(v) for k, v in (targets or {}).items()}
+    if len(share) >= queues:
+        raise ValueError(f"{len(share)} targets need more than {queues} queues")
+    asked = F.col("source").isin(list(share)) if share else F.lit(False)
+    largest = [(r.source, r.n) for r in by_source.orderBy(asked.desc(), F.desc("n"), "source").limit(queues).collect()]
+    if missing := sorted(s[1:] for s in share.keys() - {s for s, _ in largest} if largest):
+        raise ValueError(f"targets name no source: {', '.join(missing)}")
     rest = (by_source.agg(F.sum("n")).first()[0] or 0) - sum(n for _, n in largest)
     if rest:  # more sources than queues: the smallest share the last queue
         largest, rest = largest[:-1], rest + largest[-1][1]
     totals = np.array([n for _, n in largest] + [rest] * bool(rest), np.int64)
-    share = {f"={k}": float(v) for k, v in (targets or {}).items()}
     weights = np.array([share.get(s, n / max(1, totals.sum())) for s, n in largest] + [rest / max(1, totals.sum())] * bool(rest))
     if len(weights) and not (np.isfinite(weights).all() and (weights > 0).all()):
         raise ValueError("target proportions must be positive")

@@ -104,6 +104,22 @@ def test_round_trip_and_mixture(spark, tokenizer, targets, queues):
                 assert abs(sent[s] - (number + 1) * 256 * weights[s] / sum(weights.values())) <= slack
 
 
+def test_small_sources_keep_their_targets(spark):
+    words = "some words that are packed again and again " * 4
+    rows = [(i, words, f"s{i % 40:02d}", 1, "x") for i in range(800)] + [(1000 + i, words, "tiny", 1, "x") for i in range(8)]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    found = packing.pack(frame, **PATHS, length=256, grain=32, targets={"tiny": 10, "s07": 10}, queues=5).collect()
+    early = Counter()
+    for r in found:
+        if r.sequence_id < 2:
+            early[r.source] += r.length
+    assert abs(early["tiny"] - early["s07"]) <= 64 and early["tiny"] + early["s07"] > 380
+    with pytest.raises(ValueError, match="no source: elsewhere"):
+        packing.pack(frame, **PATHS, targets={"elsewhere": 1})
+    with pytest.raises(ValueError, match="more than 2 queues"):
+        packing.pack(frame, **PATHS, targets={"s01": 1, "s02": 1}, queues=2)
+
+
 def test_empty_and_tiny_tables(spark, tokenizer):
     assert packing.pack(spark.createDataFrame([], SCHEMA), **PATHS).count() == 0
     rows = [(1, None, None, 1, "x")]
