@@ -822,6 +822,7 @@ oracle(
     "community",
     "second_region",
 )
+SQL["metric_incidents_daily"] = SQL["metric_incidents_region"]
 oracle(
     "metric_labor_scoped",
     f"SELECT * FROM labor WHERE region = (SELECT region FROM second_region) AND {MONTHS}",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -642,6 +643,14 @@ def metric_incidents_region(s):
     return metrics.incidents_summary(facts(s), ADMIN, regional(s)["region"], start, end, census=days)
 
 
+@shared_query
+def metric_incidents_daily(s):
+    """The same summary as called by default: resident-days are counted in the daily fact."""
+    pieces = temporal.census_segments(sh.stays(s), ranges(s), *window(s))
+    told = replace(facts(s), resident_days=temporal.census_days(pieces))
+    return metrics.incidents_summary(told, ADMIN, regional(s)["region"], "1998-02-10", "1999-05-20")
+
+
 @query
 def metric_labor_scoped(s):
     result = metrics.labor_cost(facts(s), regional(s), start="1998-02-10", end="1999-05-20")

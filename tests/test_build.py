@@ -29,6 +29,8 @@ def test_landing_report(done):
     assert ("notes.csv", "ignored") in status
     assert ("unknown_table_2025_01.csv", "ignored") in status
     assert ("pcc_residents_2025_02.csv", "loaded") in status
+    written = {r.object: (r.rows_in, r.row_count, r.logged) for r in run.metrics().filter("stage = 'silver'").collect()}
+    assert written["shifts"] == (24, 9, 15) and written["leads"] == (3, 2, 2) and written["care_history"][0] == 2
     counts = as_map(bronze.table_counts(run.spark, run.warehouse), "table_name", "row_count")
     assert counts == {
         "pcc_residents": 18, "pcc_incidents": 4, "pcc_care_history": 2, "yardi_units": 15,
