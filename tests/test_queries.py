@@ -26,7 +26,8 @@ SELECTED = [
     "metric_moveout_6m", "not_in_null_aware", "occupancy_monthly", "prorated_revenue", "replace_by_file",
     "export_csv", "landing_registry", "landing_rows", "lease_month_rows", "raw_row_json", "resident_day_digest",
     "review_candidates", "reviews_summary", "rounding_rules", "scd2_build", "scope_by_role", "stream_landing",
-    "top_reasons",
+    "top_reasons", "events_in_force", "lease_overlap_witnesses", "rate_from_dict_text", "repeated_resident_days",
+    "scd2_point_in_time",
 ]
 NAMES = sorted(QUERIES) if os.environ.get("STAYLEDGER_ALL_QUERIES") else SELECTED
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="sample tables are not there")
