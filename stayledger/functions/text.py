@@ -56,14 +56,14 @@ def rate_for_role(rate_text: Column, role: Column) -> Column:
     plain = ~F.contains(rate_text, F.lit('"'))
     own = once(F.regexp_extract(after, RATE_VALUE, 1), lambda v: F.when((v != "") & plain, v).otherwise(listed))
     rate = once(own, lambda v: number_with_marks(F.regexp_replace(v, QUOTES, "")))
-    is_map = F.startswith(strip(rate_text), F.lit("{"))
+    is_map = F.contains(rate_text, F.lit("{"))
     read = F.when(F.regexp_like(rate_text, F.lit(RATE_MAP)), rate).when(is_map, literal_rate(rate_text, role))
     return F.coalesce(number_with_marks(rate_text), read)
 
 
 def number_with_marks(c: Column) -> Column:
     """As :func:`to_number`, with single underscores between digits."""
-    return to_number(F.regexp_replace(c, r"(?<=\d)_(?=\d)", ""))
+    return to_number(F.when(F.contains(c, F.lit("_")), F.regexp_replace(c, r"(?<=\d)_(?=\d)", "")).otherwise(c))
 
 
 def literal_rate(rate_text: Column, role: Column) -> Column:
