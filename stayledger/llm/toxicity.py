@@ -1,19 +1,21 @@
 """Toxicity from the nearest labelled examples by exact TF-IDF cosine.
 
-Terms are words and their first five letters, among a vocabulary chosen by association with the label
-on a bounded sample of labelled rows; document frequencies are counted over all documents. Examples lie
-in an inverted index whose postings are cut into blocks of neighbouring examples, each with the highest
-weight of the term. For a text, blocks are visited in order of their upper bounds until no other block
-can hold a nearer example, so the neighbours are exact. They vote with a weight that grows as their
-distance falls; the votes are calibrated on the examples themselves, each without itself.
+Terms are all words of the examples, a bounded sample of labelled rows; document frequencies are counted
+over all documents. A term's weight is its inverse document frequency, raised by how surely the examples
+tie it to the label: ``ASSOCIATION`` times the lower end of its log odds ratio, which is nothing for
+nearly all words. Examples lie in an inverted index whose postings are cut into blocks of neighbouring
+examples, each with the highest weight of the term. For a text, blocks are visited in order of their upper
+bounds until no other block can hold a nearer example, so the neighbours are exact. They vote with a
+weight that grows as their distance falls; the votes are calibrated on the examples themselves, each
+without itself.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
@@ -23,51 +25,29 @@ from pyspark.sql import types as T
 
 from .common import WORD_TABLE, append, fold, map_batches, quoted, slices, text_bytes
 
-#: Labelled examples taken of each class, and terms of the vocabulary.
-PER_CLASS, TERMS = 1500, 512
-#: A term must occur in this share of the toxic examples, but in no fewer than so many, and in so many
-#: times the share of the others that have it.
-LEAST_SHARE, LEAST_EXAMPLES, LEAST_RATIO = 0.02, 3, 4.0
-#: Letters of a word's beginning, and words without a known term that count as one more term.
-STEM, OTHER_WORDS = 5, 30
-BLOCK, NEIGHBOURS, EVIDENCE = 64, 15, 3
+#: Labelled examples taken of each class.
+PER_CLASS = 1500
+#: What a term's tie to the label adds to its weight, and how many standard errors are taken off it.
+ASSOCIATION, CAUTION = 10.0, 2.0
+BLOCK, NEIGHBOURS, EVIDENCE = 256, 15, 3
 #: Weight, in votes, of the share of toxic rows among all labelled ones.
 PRIOR_VOTES = 0.5
 
+Vector = tuple[np.ndarray, np.ndarray]  # terms, ascending, and their weights
+
 
 def term_counts(text: bytes) -> Counter[bytes]:
-    """How often each word and each word's beginning (marked by a ^) occurs in a whole text."""
+    """How often each word occurs in a whole text."""
     words: Counter[bytes] = Counter()
     for part in slices(text.translate(WORD_TABLE)):
         words.update(part.split())
-    out = Counter(words)
-    for word, n in words.items():
-        if len(word) > STEM:
-            out[b"^" + word[:STEM]] += n
-    return out
+    return words
 
 
 def known_counts(text: bytes, vocabulary: dict[bytes, int]) -> dict[int, int]:
-    """term_counts for the vocabulary; every OTHER_WORDS words without a known term count as one more
-    term, the last, so that a text's length has its share in its direction."""
-    words: Counter[bytes] = Counter()
-    for part in slices(text.translate(WORD_TABLE)):
-        words.update(part.split())
-    out: dict[int, int] = {}
-    other, get = 0, vocabulary.get
-    for word, n in words.items():
-        whole = get(word)
-        stem = get(b"^" + word[:STEM]) if len(word) > STEM else None
-        if whole is None and stem is None:
-            other += n
-        else:
-            if whole is not None:
-                out[whole] = out.get(whole, 0) + n
-            if stem is not None:
-                out[stem] = out.get(stem, 0) + n
-    if other:
-        out[len(vocabulary)] = -(-other // OTHER_WORDS)
-    return out
+    """term_counts for the vocabulary's words, by their numbers."""
+    get = vocabulary.get
+    return {t: n for word, n in term_counts(text).items() if (t := get(word)) is not None}
 
 
 @dataclass
@@ -75,37 +55,43 @@ class Index:
     """Examples by term, in blocks, with the highest weight of each block."""
 
     ids: list[int]
-    labels: np.ndarray
+    labels: np.ndarray  # share of toxic ones among the rows that an example stands for
     votes: np.ndarray  # weight of each example's vote: how many labelled rows it stands for
-    vectors: np.ndarray  # example x term, of length one
-    tops: np.ndarray = field(init=False)  # block x term
-    postings: dict[int, list[tuple[int, np.ndarray, np.ndarray]]] = field(init=False)
+    vectors: list[Vector]  # of length one
+    terms: int
+    tops: np.ndarray = field(init=False)  # term x block
+    blocks: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = field(init=False)
 
     def __post_init__(self) -> None:
-        blocks = -(-len(self.ids) // BLOCK)
-        terms = self.vectors.shape[1]
-        self.tops = np.zeros((blocks, terms))
-        self.postings = {}
-        for b in range(blocks):
+        self.blocks = []
+        self.tops = np.zeros((self.terms, -(-len(self.ids) // BLOCK)))
+        for b in range(self.tops.shape[1]):
             part = self.vectors[b * BLOCK : (b + 1) * BLOCK]
-            self.tops[b] = part.max(axis=0)
-            for t in np.flatnonzero(self.tops[b]):
-                rows = np.flatnonzero(part[:, t])
-                self.postings.setdefault(int(t), []).append((b, rows, part[rows, t]))
-        self.lists = {t: {b: (rows, w) for b, rows, w in blocks_of} for t, blocks_of in self.postings.items()}
+            terms = np.concatenate([t for t, _ in part])
+            weights = np.concatenate([w for _, w in part])
+            rows = np.repeat(np.arange(len(part), dtype=np.int32), [len(t) for t, _ in part])
+            order = np.argsort(terms, kind="stable")
+            starts = np.zeros(self.terms + 1, np.int32)
+            np.cumsum(np.bincount(terms, minlength=self.terms), out=starts[1:])
+            np.maximum.at(self.tops[:, b], terms, weights)
+            self.blocks.append((starts, rows[order], weights[order]))  # postings of a term lie together
+
+    def cosines(self, b: int, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """Of each example of a block."""
+        starts, rows, held = self.blocks[b]
+        begin = starts[terms].astype(np.int64)
+        sizes = starts[terms + 1] - begin
+        at = np.repeat(begin - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+        return np.bincount(rows[at], held[at] * np.repeat(weights, sizes), minlength=BLOCK)
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """(examples, cosines) of the k nearest with a common term; ties to the earlier example."""
-        bounds = self.tops[:, terms] @ weights
+        bounds = weights @ self.tops[terms]
         best_rows, best = np.empty(0, np.int64), np.empty(0)
         for b in np.argsort(-bounds, kind="stable"):
             if bounds[b] <= 0 or (len(best) == k and bounds[b] < best[-1] - 1e-12):
                 break
-            scores = np.zeros(BLOCK)
-            for t, w in zip(terms, weights):
-                found = self.lists.get(int(t), {}).get(int(b))
-                if found is not None:
-                    scores[found[0]] += found[1] * w
+            scores = self.cosines(b, terms, weights)
             rows = np.flatnonzero(scores)
             rows, scores = rows + b * BLOCK, scores[rows]
             if without >= 0:
@@ -120,34 +106,39 @@ class Index:
 @dataclass
 class Model:
     vocabulary: dict[bytes, int]
-    idf: np.ndarray
+    weights: np.ndarray  # of each term
     index: Index
     base: float  # share of toxic rows among the labelled ones
     slope: float = 1.0
     shift: float = 0.0
 
-    def vector(self, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
-        terms = np.fromiter(sorted(counts), np.int64, len(counts))
-        weights = np.array([1 + np.log(counts[t]) for t in terms]) * self.idf[terms]
-        size = np.sqrt((weights**2).sum())
-        return (terms, weights / size) if size else (terms[:0], weights[:0])
+    def vector(self, counts: dict[int, int]) -> Vector:
+        return vector(counts, self.weights)
 
     def vote(self, rows: np.ndarray, cosines: np.ndarray) -> float:
         """Share of toxic votes, each weighted by nearness, with the base share as a weak prior."""
         w = cosines / (1.0 - np.minimum(cosines, 1.0) + 0.1) * self.index.votes[rows]
-        return float((PRIOR_VOTES * self.base + w[self.index.labels[rows] == 1].sum()) / (PRIOR_VOTES + w.sum()))
+        return float((PRIOR_VOTES * self.base + (w * self.index.labels[rows]).sum()) / (PRIOR_VOTES + w.sum()))
 
     def calibrated(self, vote: float) -> float:
         z = self.slope * logit(vote) + self.shift
         return float(1 / (1 + np.exp(-z)))
 
     def score(self, text: bytes) -> tuple[float, list[int], list[float]]:
-        terms, weights = self.vector(known_counts(text, self.vocabulary))
-        rows, cosines = self.index.nearest(terms, weights, NEIGHBOURS)
+        rows, cosines = self.index.nearest(*self.vector(known_counts(text, self.vocabulary)), NEIGHBOURS)
         near = rows[:EVIDENCE]
         return self.calibrated(self.vote(rows, cosines)), [self.index.ids[i] for i in near], [float(c) for c in cosines[:EVIDENCE]]
 
 
+def vector(counts: dict[int, int], term_weights: np.ndarray) -> Vector:
+    """Weights of a text's terms, scaled to length one."""
+    terms = np.fromiter(counts, np.int64, len(counts))
+    weights = (1 + np.log(np.fromiter(counts.values(), float, len(counts)))) * term_weights[terms]
+    order = np.argsort(terms)
+    size = np.sqrt((weights**2).sum())
+    return terms[order], weights[order] / (size or 1.0)
+
+
 def logit(p: float) -> float:
     p = min(max(p, 1e-4), 1 - 1e-4)
     return float(np.log(p / (1 - p)))
@@ -169,91 +160,92 @@ def examples(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str
     return texts, sizes
 
 
-def vocabulary_of(texts: DataFrame) -> list[bytes]:
-    """The TERMS terms most associated with toxic examples, by summed log ratio of document shares."""
+def counted(texts: DataFrame) -> DataFrame:
+    """One row per different text of the examples: digest, its words and how often each occurs, the least
+    id, and how many rows of each label have it."""
 
-    def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for data, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                found = list(term_counts(data))
-                if found:
-                    yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), pa.array([y] * len(found), pa.int32())], names=["term", "y"])
-
-    texts = texts.dropDuplicates(["text", "y"])  # copies say nothing new
-    sizes = {r.y: r.n for r in texts.groupBy("y").agg(F.count("*").alias("n")).collect()}
-    if not sizes.get(1):
-        return []
-    counted = map_batches(texts.select("text", "y"), terms, "term binary, y int").groupBy("term").agg(F.sum("y").alias("toxic"), F.count("*").alias("n"))
-    share = F.col("toxic") / sizes[1]
-    other = (F.col("n") - F.col("toxic") + 0.5) / (sizes.get(0, 0) + 1)
-    gain = F.col("toxic") * F.log(share / other)
-    chosen = counted.where((F.col("toxic") >= max(LEAST_EXAMPLES, LEAST_SHARE * sizes[1])) & (share >= LEAST_RATIO * other)).orderBy(gain.desc(), "term").limit(TERMS)
-    return [bytes(r.term) for r in chosen.select("term").collect()]
+    def make():
+        def step(data):
+            counts = [term_counts(t) for t in data.to_pylist()]
+            words = pa.array([list(c) for c in counts], pa.list_(pa.binary()))
+            return [words, pa.array([list(c.values()) for c in counts], pa.list_(pa.int64()))]
+
+        return step
+
+    single = texts.dropDuplicates(["id"]).withColumn("digest", F.sha2("text", 256))
+    rows = single.groupBy("digest").agg(F.min("id").alias("id"), F.sum("y").alias("toxic"), F.count("*").alias("n"), F.first("text").alias("text"))
+    pair = [T.StructField("words", T.ArrayType(T.BinaryType())), T.StructField("counts", T.ArrayType(T.LongType()))]
+    return append(rows, [F.col("text")], T.StructType(pair), make).drop("text")
 
 
 def frequencies(docs: DataFrame, text: str, vocabulary: dict[bytes, int]) -> tuple[np.ndarray, int]:
-    """In how many of all documents each term occurs, and the number of documents. Each task sends one
-    row per term."""
-    size = len(vocabulary) + 1  # the last: any other word
+    """In how many of all documents each term occurs, and the number of documents. Each task sends at
+    most one row per term."""
+    size = len(vocabulary)
+    sent = docs.sparkSession.sparkContext.broadcast(vocabulary)  # words of at most twice PER_CLASS examples
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found, rows = np.zeros(size + 1, np.int64), 0
+        known, found = sent.value, np.zeros(size + 1, np.int64)  # the last: documents
         for batch in batches:
-            rows += batch.num_rows
+            found[size] += batch.num_rows
             for data in batch.column(0).to_pylist():
-                found[list(known_counts(data, vocabulary))] += 1
-        found[size] = rows
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(size + 1), pa.int32()), pa.array(found, pa.int64())], names=["at", "n"])
+                found[list(known_counts(data, known))] += 1
+        at = np.flatnonzero(found)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(found[at], pa.int64())], names=["at", "n"])
 
-    counted = map_batches(docs.select(text_bytes(quoted(text))), count, "at int, n bigint").groupBy("at").agg(F.sum("n").alias("n"))
+    sums = map_batches(docs.select(text_bytes(quoted(text))), count, "at int, n bigint").groupBy("at").agg(F.sum("n").alias("n"))
     out = np.zeros(size + 1, np.int64)
-    for r in counted.collect():
+    for r in sums.toLocalIterator():  # at most one row per term
         out[r["at"]] = r.n
     return out[:size], int(out[size])
 
 
+def associations(held: list[np.ndarray], labels: np.ndarray, terms: int) -> np.ndarray:
+    """For each term, the log ratio of its odds in toxic and in other examples, less CAUTION standard
+    errors, and at least 0. Each different text counts once."""
+    toxic, other = np.zeros(terms), np.zeros(terms)
+    for at, y in zip(held, labels):
+        toxic[at] += y
+        other[at] += 1 - y
+    cells = [x + 0.5 for x in (toxic, labels.sum() - toxic, other, (1 - labels).sum() - other)]
+    ratio = np.log(cells[0]) - np.log(cells[1]) - np.log(cells[2]) + np.log(cells[3])
+    return np.maximum(0.0, ratio - CAUTION * np.sqrt(sum(1 / c for c in cells)))
+
+
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", wanted: Column | None = None) -> Model | None:
     """A model learnt from the labelled rows for which ``wanted`` holds (a condition on the labels'
-    columns); document frequencies are those of all ``docs``. None without a toxic example."""
+    columns); document frequencies are those of all ``docs``. Rows with one text are one example, with a
+    vote for each row. None without a toxic example or without a word in any."""
     texts, sizes = examples(docs, labels, key, text, label, F.lit(True) if wanted is None else wanted)
-    terms = vocabulary_of(texts)
-    if not terms:
+    rows = counted(texts).collect()  # at most twice PER_CLASS
+    vocabulary = {w: i for i, w in enumerate(sorted({bytes(w) for r in rows for w in r.words}))}
+    if not vocabulary or not any(r.toxic for r in rows):
         return None
-    vocabulary = {t: i for i, t in enumerate(terms)}
     found, n = frequencies(docs, text, vocabulary)
-    idf = np.log((n + 1) / (found + 1)) + 1
-
-    def make():
-        def step(data):
-            counts = [known_counts(t, vocabulary) for t in data.to_pylist()]
-            ids, ns = [sorted(c) for c in counts], [[c[t] for t in sorted(c)] for c in counts]
-            return [pa.array(ids, pa.list_(pa.int32())), pa.array(ns, pa.list_(pa.int64()))]
-
-        return step
-
-    pair = [T.StructField("terms", T.ArrayType(T.IntegerType())), T.StructField("counts", T.ArrayType(T.LongType()))]
-    rows = append(texts, [F.col("text")], T.StructType(pair), make).select("id", "y", "terms", "counts").dropDuplicates(["id"]).collect()
-    # neighbours in the index share a term; labels have no say in the order, as it decides ties
-    rows.sort(key=lambda r: (tuple(r.terms[:1]), zlib.crc32(str(r.id).encode()), r.id))
-    weights = {y: sizes.get(y, 0) / max(1, sum(r.y == y for r in rows)) for y in (0, 1)}
-    total = max(1, sum(sizes.values()))
-    vectors = np.zeros((len(rows), len(terms) + 1))
-    index = Index([r.id for r in rows], np.array([r.y for r in rows]), np.array([weights[r.y] for r in rows]) / max(weights.values()), vectors)
-    model = Model(vocabulary, idf, index, sizes.get(1, 0) / total)
-    for i, r in enumerate(rows):
-        at, w = model.vector(dict(zip(r.terms, r.counts)))
-        vectors[i, at] = w
-    model.index = Index(index.ids, index.labels, index.votes, vectors)
-    return calibrate(model)
+    counts = [{vocabulary[bytes(w)]: c for w, c in zip(r.words, r.counts)} for r in rows]
+    shares = np.array([r.toxic / r.n for r in rows])
+    held = [np.fromiter(c, np.int64, len(c)) for c in counts]
+    weights = (np.log((n + 1) / (found + 1)) + 1) * (1 + ASSOCIATION * associations(held, shares, len(vocabulary)))
+    vectors = [vector(c, weights) for c in counts]
+    # neighbours in the index share their weightiest term; ids and labels have no say in the order, as it decides ties
+    heaviest = [int(t[np.argmax(w)]) if len(t) else -1 for t, w in vectors]
+    order = sorted(range(len(rows)), key=lambda i: (heaviest[i], rows[i].digest))
+    sampled = {1: sum(r.toxic for r in rows), 0: sum(r.n - r.toxic for r in rows)}
+    stands = {y: sizes.get(y, 0) / max(1, sampled[y]) for y in (0, 1)}  # labelled rows for each sampled one
+    toxic = np.array([rows[i].toxic for i in order]) * stands[1]
+    clean = np.array([rows[i].n - rows[i].toxic for i in order]) * stands[0]
+    votes = toxic + clean
+    index = Index([rows[i].id for i in order], toxic / votes, votes / max(stands.values()), [vectors[i] for i in order], len(vocabulary))
+    return calibrate(Model(vocabulary, weights, index, sizes.get(1, 0) / max(1, sum(sizes.values()))))
 
 
 def calibrate(model: Model) -> Model:
     """Slope and shift of a logistic curve over the votes each example gets from the others."""
     index = model.index
-    x, y = np.empty(len(index.ids)), index.labels.astype(float)
-    for i in range(len(index.ids)):
-        terms = np.flatnonzero(index.vectors[i])
-        x[i] = logit(model.vote(*index.nearest(terms, index.vectors[i, terms], NEIGHBOURS, without=i)))
+    x, y = np.empty(len(index.ids)), index.labels
+    for i, (terms, weights) in enumerate(index.vectors):
+        x[i] = logit(model.vote(*index.nearest(terms, weights, NEIGHBOURS, without=i)))
+    index.vectors = []  # the postings hold them
     # Newton steps on the weighted log loss, with a weak pull towards the plain votes
     a, b = 1.0, 0.0
     for _ in range(50):
@@ -273,10 +265,12 @@ def score(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame
     """``docs`` with ``score`` (0 to 1) and the evidence: ``near_ids`` and ``near_cosines`` of the
     nearest examples.
 
-    A null or empty text, and one without a term of the vocabulary, has no neighbour and gets the
-    calibrated base share. Without a model every score is 0. Columns with these names are replaced.
+    A null or empty text, and one without a word of the examples, has no neighbour and gets the
+    calibrated base share. Very long texts are read whole; equally near examples are taken by their
+    weightiest term and the digest of their text; repeated rows are scored alike, and an empty table
+    gives an empty one. Without a model every score is 0. Columns with these names are replaced.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # at most twice PER_CLASS examples of TERMS terms
+    sent = docs.sparkSession.sparkContext.broadcast(model)  # at most twice PER_CLASS examples
 
     def make():
         known = sent.value
