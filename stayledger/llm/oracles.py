@@ -70,14 +70,16 @@ WITH d AS (
 ), base AS (
   SELECT r, count(*) AS n, min(i) - 1 AS lo, max(i) - 1 AS hi, list_sort(list_distinct(list(label))) AS labels FROM hits GROUP BY r
 ), t AS (
-  SELECT DISTINCT name, unnest({words("body")}) AS word FROM (VALUES {texts(sorted(licenses.TEMPLATES.items()))}) AS v(name, body)
+  SELECT DISTINCT name, array_to_string(w[j : j + 2], ' ') AS run
+  FROM (SELECT name, {words("body")} AS w FROM (VALUES {texts(sorted(licenses.TEMPLATES.items()))}) AS v(name, body)), unnest(range(1, len(w) - 1)) AS y(j)
 ), sizes AS (
   SELECT name, count(*) AS n, ceil({licenses.CONTAINMENT} * count(*) - 1e-9) AS need FROM t GROUP BY name
 ), blocks AS (
-  SELECT r, i, unnest(w[i : i + {licenses.BLOCK_WORDS - 1}]) AS word
-  FROM d, unnest(range(1, greatest(len(w) - {licenses.BLOCK_WORDS - licenses.BLOCK_STEP}, 1) + 1, {licenses.BLOCK_STEP})) AS x(i)
+  SELECT r, i, array_to_string(w[j : j + 2], ' ') AS run
+  FROM d, unnest(range(1, greatest(len(w) - {licenses.BLOCK_WORDS - licenses.BLOCK_STEP}, 1) + 1, {licenses.BLOCK_STEP})) AS x(i),
+       unnest(range(i, least(i + {licenses.BLOCK_WORDS - 2}, len(w) - 1))) AS y(j)
 ), shared AS (
-  SELECT r, i, name, count(*) AS n FROM (SELECT DISTINCT r, i, word FROM blocks) JOIN t USING (word) GROUP BY r, i, name
+  SELECT r, i, name, count(*) AS n FROM (SELECT DISTINCT r, i, run FROM blocks) JOIN t USING (run) GROUP BY r, i, name
 ), found AS (
   SELECT r, list_distinct(list(name)) AS names, max(shared.n / sizes.n) AS share
   FROM shared JOIN sizes USING (name) WHERE shared.n >= need GROUP BY r
