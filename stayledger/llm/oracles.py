@@ -132,6 +132,16 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
 _RULES = texts([(r.verdict, r.host, r.path) for r in URL_RULES])
+
+
+def _decoded(text: str) -> str:
+    """Without escapes of letters, digits and ``-._~``; A-Z lower-cased."""
+    code = "chr(CAST('0x' || substr(t, 2) AS INTEGER))"
+    one = f"CASE WHEN len(t) = 3 AND t[1] = '%' AND regexp_full_match({code}, '[A-Za-z0-9._~-]') THEN {code} ELSE t END"
+    parts = f"regexp_extract_all({text}, '%[2-7][0-9A-Fa-f]|%|[^%]')"
+    return f"translate(array_to_string(list_transform({parts}, lambda t: {one}), ''), '{urls.UPPER}', '{urls.LOWER}')"
+
+
 SQL["op10_urls"] = f"""
 WITH u AS (
   SELECT row_number() OVER () AS r, page_id,
@@ -144,14 +154,18 @@ WITH u AS (
 ), fits AS (
   SELECT r, rule, verdict, row_number() OVER (PARTITION BY r ORDER BY length(rule) DESC, rule) AS place
   FROM parts JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)
+), decoded AS (
+  SELECT *, {_decoded("host")} AS h, {_decoded("path")} AS p FROM parts
+), plain AS (
+  SELECT r, page_id, host, path, p, regexp_replace(regexp_replace(regexp_replace(h, '^[\\s\\S]*@', ''), ':[0-9]*$', ''), '[.]+$', '') AS h FROM decoded
 ), globs AS (
   SELECT *, CASE
-    WHEN contains(host, 'spam') THEN CASE WHEN path = '' THEN '*spam*' ELSE '*spam*/**' END
-    WHEN contains(host, 'cheap-pills') THEN CASE WHEN path = '' THEN '*cheap-pills*' ELSE '*cheap-pills*/**' END
-    WHEN contains(host, 'casino') THEN CASE WHEN path = '' THEN '*casino*' ELSE '*casino*/**' END
-    WHEN ends_with(path, '.exe') THEN '*/**.exe'
-    WHEN ends_with(path, '.zip') THEN '*/**.zip' END AS matched
-  FROM parts
+    WHEN contains(h, 'spam') THEN CASE WHEN p = '' THEN '*spam*' ELSE '*spam*/**' END
+    WHEN contains(h, 'cheap-pills') THEN CASE WHEN p = '' THEN '*cheap-pills*' ELSE '*cheap-pills*/**' END
+    WHEN contains(h, 'casino') THEN CASE WHEN p = '' THEN '*casino*' ELSE '*casino*/**' END
+    WHEN ends_with(p, '.exe') THEN '*/**.exe'
+    WHEN ends_with(p, '.zip') THEN '*/**.zip' END AS matched
+  FROM plain
 )
 SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN matched IS NULL THEN 'allow' ELSE 'block' END) AS verdict,
        coalesce(rule, matched) AS evidence

@@ -4,10 +4,14 @@ Every rule is a glob over host + path. Its symbols take one bit each in a row of
 more bit for its beginning. Reading a character moves all rules at once: the state is shifted by one
 bit (across words) and masked with the symbols that accept the character, and states under a wildcard
 stay where they are. URLs of a batch are read side by side, one character of each at a time.
+
+Rules are defined on the host and path as written; globs read the canonical URL (see :func:`canonical`).
+Where both are the same, as in most URLs, one pass of the automaton serves both.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -52,6 +56,10 @@ GLOBS = (
     Glob(BLOCK, "*/**.exe"), Glob(BLOCK, "*/**.zip"),
 )
 
+#: Escapes of characters that need none.
+ESCAPE = re.compile("%(2[DEde]|3[0-9]|[46][1-9A-Fa-f]|[57][0-9Aa]|5[Ff]|7[Ee])")
+TO_LOWER = str.maketrans(UPPER, LOWER)
+
 Symbol = tuple[str, str]  # kind (one, any, in-host) and character
 
 
@@ -153,12 +161,20 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     return F.translate(host, UPPER, LOWER), path
 
 
+def canonical(host: str, path: str) -> str:
+    """Host and path without needless escapes (letters, digits, ``-._~``; decoded once), A-Z lower-cased;
+    the host without user info, port and trailing dots."""
+    host, path = (ESCAPE.sub(lambda m: chr(int(m[1], 16)), part).translate(TO_LOWER) for part in (host, path))
+    host = re.sub(r":[0-9]*\Z", "", host.rpartition("@")[2])
+    return host.rstrip(".") + path
+
+
 def judge(pages: DataFrame, rules: Sequence[Rule], globs: Sequence[Glob] = GLOBS, url: str = "url", default: str = ALLOW) -> DataFrame:
     """``pages`` with ``host``, ``path``, ``rule`` (the longest that fits; of equally long ones the
     first by name; null if none does), ``verdict`` and ``evidence`` (the rule or glob that decided).
 
-    Where no rule fits, the globs decide: blocked if a blocking glob matches and no allowing one does,
-    else ``default``. Null URLs and those without ``://`` have an empty host and path, which only globs
+    Where no rule fits, the globs decide over the canonical URL: blocked if a blocking glob matches and no
+    allowing one does, else ``default``. Null URLs and those without ``://`` have an empty host and path, which only globs
     can match. Repeated rows are judged alike. Columns named like the added ones are replaced.
     """
     ranked = sorted(rules, key=lambda r: (-len(r.name), r.name))
@@ -176,10 +192,13 @@ def judge(pages: DataFrame, rules: Sequence[Rule], globs: Sequence[Glob] = GLOBS
         automaton = Automaton(patterns)
 
         def step(hosts, paths):
-            texts = [h + p for h, p in zip(hosts.to_pylist(), paths.to_pylist())]
+            parts = list(zip(hosts.to_pylist(), paths.to_pylist()))
+            texts, plain = [h + p for h, p in parts], [canonical(h, p) for h, p in parts]
             fits = automaton.accepts(texts)
             by_rule = fits[:, :first_glob].reshape(len(texts), n, 2).any(axis=2)
             by_glob = fits[:, first_glob:]
+            if other := [i for i, (a, b) in enumerate(zip(texts, plain)) if a != b]:
+                by_glob[other] = automaton.accepts([plain[i] for i in other])[:, first_glob:]
             rule, verdict, evidence = [], [], []
             for i in range(len(texts)):
                 if by_rule[i].any():
