@@ -29,7 +29,9 @@ from .common import WORD_TABLE, append, fold, map_batches, quoted, slices, text_
 PER_CLASS = 1500
 #: What a term's tie to the label adds to its weight, and how many standard errors are taken off it.
 ASSOCIATION, CAUTION = 10.0, 2.0
-BLOCK, NEIGHBOURS, EVIDENCE = 256, 15, 3
+BLOCK, NEIGHBOURS, EVIDENCE = 512, 15, 3
+#: Terms in at least this share of a block's examples lie there as full rows, the others as postings.
+FULL_FROM = 1 / 16
 #: Weight, in votes, of the share of toxic rows among all labelled ones.
 PRIOR_VOTES = 0.5
 
@@ -60,7 +62,7 @@ class Index:
     vectors: list[Vector]  # of length one
     terms: int
     tops: np.ndarray = field(init=False)  # term x block
-    blocks: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = field(init=False)
+    blocks: list[tuple[np.ndarray, ...]] = field(init=False)
 
     def __post_init__(self) -> None:
         self.blocks = []
@@ -70,19 +72,29 @@ class Index:
             terms = np.concatenate([t for t, _ in part])
             weights = np.concatenate([w for _, w in part])
             rows = np.repeat(np.arange(len(part), dtype=np.int32), [len(t) for t, _ in part])
-            order = np.argsort(terms, kind="stable")
-            starts = np.zeros(self.terms + 1, np.int32)
-            np.cumsum(np.bincount(terms, minlength=self.terms), out=starts[1:])
             np.maximum.at(self.tops[:, b], terms, weights)
-            self.blocks.append((starts, rows[order], weights[order]))  # postings of a term lie together
+            held = np.bincount(terms, minlength=self.terms)
+            slots = np.full(self.terms, -1, np.int32)
+            frequent = np.flatnonzero(held >= max(2, FULL_FROM * len(part)))
+            slots[frequent] = np.arange(len(frequent))
+            full, at = np.zeros((len(frequent), BLOCK)), slots[terms]
+            full[at[at >= 0], rows[at >= 0]] = weights[at >= 0]
+            terms, rows, weights, held[frequent] = terms[at < 0], rows[at < 0], weights[at < 0], 0
+            order, starts = np.argsort(terms, kind="stable"), np.zeros(self.terms + 1, np.int32)
+            np.cumsum(held, out=starts[1:])
+            self.blocks.append((slots, full, starts, rows[order], weights[order]))  # postings of a term lie together
 
     def cosines(self, b: int, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
         """Of each example of a block."""
-        starts, rows, held = self.blocks[b]
+        slots, full, starts, rows, held = self.blocks[b]
+        slot = slots[terms]
+        frequent = slot >= 0
+        scores = weights[frequent] @ full[slot[frequent]]
+        terms, weights = terms[~frequent], weights[~frequent]
         begin = starts[terms].astype(np.int64)
         sizes = starts[terms + 1] - begin
         at = np.repeat(begin - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
-        return np.bincount(rows[at], held[at] * np.repeat(weights, sizes), minlength=BLOCK)
+        return scores + np.bincount(rows[at], held[at] * np.repeat(weights, sizes), minlength=BLOCK)
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """(examples, cosines) of the k nearest with a common term; ties to the earlier example."""
@@ -227,9 +239,10 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     held = [np.fromiter(c, np.int64, len(c)) for c in counts]
     weights = (np.log((n + 1) / (found + 1)) + 1) * (1 + ASSOCIATION * associations(held, shares, len(vocabulary)))
     vectors = [vector(c, weights) for c in counts]
-    # neighbours in the index share their weightiest term; ids and labels have no say in the order, as it decides ties
-    heaviest = [int(t[np.argmax(w)]) if len(t) else -1 for t, w in vectors]
-    order = sorted(range(len(rows)), key=lambda i: (heaviest[i], rows[i].digest))
+    # neighbours in the index share their commonest words, which differ by language, so that blocks of other
+    # languages have low bounds; ids and labels have no say in the order, as it decides ties
+    commonest = [tuple(t[np.lexsort((t, -found[t]))[:3]].tolist()) for t, _ in vectors]
+    order = sorted(range(len(rows)), key=lambda i: (commonest[i], rows[i].digest))
     sampled = {1: sum(r.toxic for r in rows), 0: sum(r.n - r.toxic for r in rows)}
     stands = {y: sizes.get(y, 0) / max(1, sampled[y]) for y in (0, 1)}  # labelled rows for each sampled one
     toxic = np.array([rows[i].toxic for i in order]) * stands[1]
@@ -267,7 +280,7 @@ def score(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame
 
     A null or empty text, and one without a word of the examples, has no neighbour and gets the
     calibrated base share. Very long texts are read whole; equally near examples are taken by their
-    weightiest term and the digest of their text; repeated rows are scored alike, and an empty table
+    commonest words and the digest of their text; repeated rows are scored alike, and an empty table
     gives an empty one. Without a model every score is 0. Columns with these names are replaced.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)  # at most twice PER_CLASS examples
