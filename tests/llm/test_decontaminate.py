@@ -69,6 +69,50 @@ def test_slices_of_very_long_texts():
         decontaminate.slices.__defaults__ = old
 
 
+def test_pieces_hold_each_window_once():
+    rng = random.Random(5)
+    for n in (0, 1, 3, 4, 5, 11, 40):
+        body = [str(rng.randrange(9)) + str(i) for i in range(n)]
+        pieces = [p.split() for p in decontaminate.cut(" ".join(body).encode(), 4, 3)]
+        windows = [p[i : i + 4] for p in pieces for i in range(max(1, len(p) - 3))]
+        wanted = [body[i : i + 4] for i in range(max(min(n, 1), n - 3))]
+        assert [[w.decode() for w in x] for x in windows] == wanted
+
+
+def test_many_blocks_one_at_a_time(spark, monkeypatch):
+    """Twenty or more blocks, items in pieces, a window that many items share, columns with the names of
+    added ones: as the plain search, and a worker holds one block's tables."""
+    monkeypatch.setattr(decontaminate, "PIECE", 3)
+    rng = random.Random(6)
+    some = lambda n: " ".join(f"w{rng.randrange(40)}" for _ in range(n))
+    items = [(k, some(rng.randrange(5, 30))) for k in range(60)]
+    items += [(100 + k, "one two three four " + some(2)) for k in range(20)] + [items[0], (None, items[1][1])]
+    docs = [(k, " ".join(w for _, t in rng.sample(items, 3) for w in t.split()[: rng.randrange(9)])) for k in range(40)]
+    docs += [(50, "x one two three four y"), (50, "x one two three four y"), (51, None), (52, " ".join(t for _, t in items))]
+    frame = spark.createDataFrame([(i, t, 7, "x") for i, t in docs], "doc_id long, text string, __row int, items string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    sizes = []
+    whole = decontaminate.sent
+    monkeypatch.setattr(decontaminate, "sent", lambda block: sizes.append(block.count()) or whole(block))
+    found = decontaminate.find(frame, bench, window=4, block_bytes=330)
+    got = [(r.doc_id, r.n_words, r.n_hit, list(r["items"]), r.contaminated) for r in found.collect()]
+    assert sorted(got, key=repr) == plain(docs, items, 4)
+    assert found.columns == ["doc_id", "text", "__row", "n_words", "spans", "items", "n_hit", "n_items", "contaminated"]
+    assert len(sizes) >= 20 and max(sizes) < 0.3 * sum(sizes)
+    decontaminate.HELD.clear()
+    for name in ("a", "b"):
+        decontaminate.held(name, type("Block", (), {"value": [("1", b"a b c d")]}), 4)
+    assert list(decontaminate.HELD) == ["b"]
+
+
+def test_clean_keeps_columns(spark):
+    docs = spark.createDataFrame([(1, "a b c", 9, "s"), (2, None, 8, "t"), (3, "q", 7, "u")], "doc_id long, text string, n_words int, spans string")
+    bench = spark.createDataFrame([(1, "b"), (2, "zz")], "item_id long, text string")
+    for size in (1, 1 << 20):
+        kept = decontaminate.clean(docs, bench, block_bytes=size)
+        assert sorted(map(tuple, kept.collect())) == [(2, None, 8, "t"), (3, "q", 7, "u")]
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     none = spark.createDataFrame([], "item_id long, text string")
