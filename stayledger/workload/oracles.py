@@ -245,7 +245,11 @@ CTE = {
     ),
     "incident_log": (
         ["raw_incident"],
-        "SELECT incident_id AS business_key, 'severity out of range' AS reason, 'row rejected' AS action_taken "
+        "SELECT incident_id AS business_key, 'severity out of range' AS reason, 'row rejected' AS action_taken, "
+        "CAST(to_json({'incident_id': incident_id, 'resident_id': resident_id, 'community_id': community_id, "
+        "'incident_date': CAST(incident_date AS VARCHAR), 'incident_type': incident_type, "
+        "'severity': coalesce(CAST(severity AS VARCHAR), 'severe'), 'reported_by': reported_by, "
+        "'_source_file': f}) AS VARCHAR) AS raw_value "
         "FROM raw_incident WHERE severity IS NULL OR severity NOT BETWEEN 1 AND 5",
     ),
     "history_clean": (
@@ -322,26 +326,37 @@ CTE = {
         "SELECT CAST(o_orderkey AS VARCHAR) AS review_id, CAST(community_id AS VARCHAR) AS community_id, "
         f"{parsed('admit_date', 'o_orderkey')} AS review_date, "
         "CASE WHEN o_orderkey % 10 <> 0 THEN CAST(o_orderkey % 8 AS DOUBLE) END AS rating, "
-        f"first_ship AS responded_at, {in_file('gbp_reviews', 'admit_date')} AS f FROM shipped",
+        "o_orderstatus AS review_text, CAST(NULL AS VARCHAR) AS response_text, "
+        f"first_ship AS responded_at, {in_file('gbp_reviews', 'admit_date')} AS f, "
+        "CASE o_orderkey % 7 WHEN 0 THEN strftime(admit_date, '%-m/%-d/%Y') "
+        "WHEN 1 THEN ' ' || CAST(admit_date AS VARCHAR) || chr(9) WHEN 2 THEN 'n/a' "
+        "WHEN 3 THEN year(admit_date) || '-13-01' ELSE CAST(admit_date AS VARCHAR) END AS day_text, "
+        "CASE WHEN o_orderkey % 10 = 0 THEN 'five' ELSE CAST(o_orderkey % 8 AS VARCHAR) END AS rating_text FROM shipped",
     ),
     "review_clean": (
         ["raw_review"],
-        "SELECT review_id, community_id, review_date, rating, responded_at FROM raw_review WHERE rating BETWEEN 1 AND 5",
+        "SELECT review_id, community_id, review_date, rating, review_text, response_text, responded_at "
+        "FROM raw_review WHERE rating BETWEEN 1 AND 5",
     ),
     "review_log": (
         ["raw_review"],
-        "SELECT review_id AS business_key, 'rating out of range' AS reason, 'row rejected' AS action_taken "
+        "SELECT review_id AS business_key, 'rating out of range' AS reason, 'row rejected' AS action_taken, "
+        "CAST(to_json({'review_id': review_id, 'community_id': community_id, 'review_date': day_text, "
+        "'rating': rating_text, 'review_text': review_text, 'response_text': response_text, "
+        "'responded_at': CAST(responded_at AS VARCHAR), '_source_file': f}) AS VARCHAR) AS raw_value "
         "FROM raw_review WHERE rating IS NULL OR rating NOT BETWEEN 1 AND 5",
     ),
     "raw_lead": (
         ["shipped"],
         "SELECT CAST(o_custkey AS VARCHAR) AS lead_id, CAST(community_id AS VARCHAR) AS community_id, "
-        "DATE '2024-01-05' AS created_date, first_ship AS tour_date, last_ship AS deposit_date, o_orderstatus AS status, "
+        "'Web' AS lead_source, DATE '2024-01-05' AS created_date, first_ship AS tour_date, last_ship AS deposit_date, "
+        "CAST(NULL AS DATE) AS move_in_date, o_orderstatus AS status, CAST(NULL AS VARCHAR) AS lost_reason, "
         f"{in_file('hubspot_leads', 'admit_date')} AS f, o_orderkey AS seq FROM shipped",
     ),
     "lead_clean": (
         ["raw_lead"],
-        "SELECT lead_id, community_id, created_date, tour_date, deposit_date, status FROM raw_lead "
+        "SELECT lead_id, community_id, lead_source, created_date, tour_date, deposit_date, move_in_date, status, lost_reason "
+        "FROM raw_lead "
         "QUALIFY row_number() OVER (PARTITION BY lead_id ORDER BY f DESC, seq DESC) = 1",
     ),
     "lead_log": (
@@ -354,9 +369,9 @@ CTE = {
     ),
     "full_log": (
         ["resident_log", "incident_log", "unit_log", "lease_log", "shift_log", "review_log", "lead_log"],
-        "SELECT 'pcc_residents' AS source_table, * FROM resident_log UNION ALL SELECT 'pcc_incidents', * FROM incident_log "
+        "SELECT 'pcc_residents' AS source_table, * FROM resident_log UNION ALL SELECT 'pcc_incidents', business_key, reason, action_taken FROM incident_log "
         "UNION ALL SELECT 'yardi_units', * FROM unit_log UNION ALL SELECT 'yardi_leases', * FROM lease_log "
-        "UNION ALL SELECT 'adp_shifts', * FROM shift_log UNION ALL SELECT 'gbp_reviews', * FROM review_log "
+        "UNION ALL SELECT 'adp_shifts', * FROM shift_log UNION ALL SELECT 'gbp_reviews', business_key, reason, action_taken FROM review_log "
         "UNION ALL SELECT 'hubspot_leads', business_key, reason, action_taken FROM lead_log",
     ),
     "lease_export": ([], "SELECT l_orderkey FROM lineitem JOIN orders ON o_orderkey = l_orderkey"),
@@ -836,7 +851,7 @@ oracle("metric_reviews_scoped", f"SELECT * FROM review_month WHERE community_id
 oracle("clean_residents", "SELECT *, CAST(NULL AS VARCHAR) AS mobility_status FROM resident_month", "resident_month")
 oracle(
     "clean_residents_current",
-    "SELECT resident_id, community_id, last_name, admit_date, discharge_date, care_level, acuity_score FROM resident_now",
+    "SELECT * EXCLUDE (snapshot_month), CAST(NULL AS VARCHAR) AS mobility_status FROM resident_now",
     "resident_now",
 )
 oracle("clean_residents_log", "SELECT * FROM resident_log", "resident_log")
@@ -893,7 +908,7 @@ oracle(
 )
 oracle(
     "fact_lead",
-    "SELECT lead_id, community_id, tour_date, deposit_date, tour_date IS NOT NULL AS toured, "
+    "SELECT *, tour_date IS NOT NULL AS toured, "
     "deposit_date IS NOT NULL AS deposited, status = 'Won' AS converted FROM lead_clean",
     "lead_clean",
 )

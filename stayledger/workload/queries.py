@@ -676,8 +676,8 @@ def cleaned(s, table: str) -> silver.Cleaned:
     return silver.Cleaned(**{p: s.keep(f"{table}-{p}", lambda df=df: df) for p, df in parts.items() if df is not None})
 
 
-def log_of(s, table: str) -> DataFrame:
-    return cleaned(s, table).quarantine.select("business_key", "reason", "action_taken")
+def log_of(s, table: str, *more: str) -> DataFrame:
+    return cleaned(s, table).quarantine.select("business_key", "reason", "action_taken", *more)
 
 
 @query
@@ -687,9 +687,7 @@ def clean_residents(s):
 
 @query
 def clean_residents_current(s):
-    return cleaned(s, "pcc_residents").current.select(
-        "resident_id", "community_id", "last_name", "admit_date", "discharge_date", "care_level", "acuity_score"
-    )
+    return cleaned(s, "pcc_residents").current
 
 
 @shared_query
@@ -704,7 +702,7 @@ def clean_incidents(s):
 
 @query
 def clean_incidents_log(s):
-    return log_of(s, "pcc_incidents")
+    return log_of(s, "pcc_incidents", "raw_value")
 
 
 @query
@@ -749,22 +747,22 @@ def clean_shifts_log(s):
 
 @query
 def clean_reviews(s):
-    return cleaned(s, "gbp_reviews").rows.select("review_id", "community_id", "review_date", "rating", "responded_at")
+    return cleaned(s, "gbp_reviews").rows
 
 
 @query
 def clean_reviews_log(s):
-    return log_of(s, "gbp_reviews")
+    return log_of(s, "gbp_reviews", "raw_value")
 
 
 @query
 def clean_leads(s):
-    return cleaned(s, "hubspot_leads").rows.drop("lead_source", "lost_reason", "move_in_date")
+    return cleaned(s, "hubspot_leads").rows
 
 
 @query
 def clean_leads_log(s):
-    return cleaned(s, "hubspot_leads").quarantine.select("business_key", "reason", "action_taken", "raw_value")
+    return log_of(s, "hubspot_leads", "raw_value")
 
 
 def all_logs(s) -> DataFrame:
@@ -825,8 +823,7 @@ def fact_review(s):
 
 @query
 def fact_lead(s):
-    built = gold.fact_lead(cleaned(s, "hubspot_leads").rows)
-    return built.select("lead_id", "community_id", "tour_date", "deposit_date", "toured", "deposited", "converted")
+    return gold.fact_lead(cleaned(s, "hubspot_leads").rows)
 
 
 # --- reconciliation -----------------------------------------------------------------------
