@@ -58,3 +58,12 @@ def test_digest_outgrows_64_bits(rows):
     weighed = sum((d - datetime.date(1970, 1, 1)).days ** 2 * ((k or 0) + 1) for d, _, _, k, _ in data)
     assert weighed > 2**63
     assert tuple(found) == (1, 2, 5, first, first + datetime.timedelta(3), float(weighed))
+
+
+def test_raw_values_are_made_only_where_read(rows):
+    data = rows([("a", 1), ("b", 2), ("c", None)], "k string, v int")
+    findings = [quality.Finding(F.col("v") > n, f"above {n}", "none", ["k", "v"]) for n in (0, 1)]
+    log = quality.quarantine_log(data, "t", "k", findings)
+    found = [tuple(r) for r in log.select("business_key", "reason", "raw_value").collect()]
+    assert sorted(found) == [("a", "above 0", '{"k":"a","v":1}'), ("b", "above 0", '{"k":"b","v":2}'), ("b", "above 1", '{"k":"b","v":2}')]
+    assert "json" in optimized(log).lower() and "json" not in optimized(quality.quarantine_summary(log)).lower()
