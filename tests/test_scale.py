@@ -67,3 +67,10 @@ def test_raw_values_are_made_only_where_read(rows):
     found = [tuple(r) for r in log.select("business_key", "reason", "raw_value").collect()]
     assert sorted(found) == [("a", "above 0", '{"k":"a","v":1}'), ("b", "above 0", '{"k":"b","v":2}'), ("b", "above 1", '{"k":"b","v":2}')]
     assert "json" in optimized(log).lower() and "json" not in optimized(quality.quarantine_summary(log)).lower()
+
+
+def test_winners_need_two_shuffles(rows):
+    data = [("e", "p", "x", "f", 1), ("e", "p", "y", "f", 2), ("e", "q", "y", "f", 3), (None, "p", "x", "f", 4), (None, "p", "y", "f", 5)]
+    found = quality.contested_winners(rows(data, "e string, p string, v string, _source_file string, _row_seq bigint"), "e", "p", "v")
+    assert planned(found).count("Exchange") == 2
+    assert [(r.e, r.p, r._winner._row_seq) for r in found.collect()] == [("e", "p", 2)]
