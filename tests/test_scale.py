@@ -74,3 +74,11 @@ def test_winners_need_two_shuffles(rows):
     found = quality.contested_winners(rows(data, "e string, p string, v string, _source_file string, _row_seq bigint"), "e", "p", "v")
     assert planned(found).count("Exchange") == 2
     assert [(r.e, r.p, r._winner._row_seq) for r in found.collect()] == [("e", "p", 2)]
+
+
+def test_numbered_rows_are_derived_once(rows, monkeypatch):
+    names = []
+    monkeypatch.setattr(keys, "staged", lambda df, name, make=keys.staged: names.append(name) or make(df, name))
+    found = keys.dense_key(rows([(3,), (1,), (2,)], "n int"), ["n"], "key")
+    assert {(r.key, r.n) for r in found.collect()} == {(1, 1), (2, 2), (3, 3)}
+    assert names == ["unnumbered", "dense-key"]
