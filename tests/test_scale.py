@@ -82,3 +82,12 @@ def test_numbered_rows_are_derived_once(rows, monkeypatch):
     found = keys.dense_key(rows([(3,), (1,), (2,)], "n int"), ["n"], "key")
     assert {(r.key, r.n) for r in found.collect()} == {(1, 1), (2, 2), (3, 3)}
     assert names == ["unnumbered", "dense-key"]
+
+
+def test_windows_over_ranges_run_in_tasks_of_their_own(rows):
+    history = rows([], "resident_id bigint, change_date date, previous_level string, new_level string, reason string")
+    stays = rows([], "resident_id bigint, community_id bigint, admit_date date, discharge_date date, care_level string")
+    ranges = temporal.level_ranges(history, stays)
+    assert re.search(r"hashpartitioning\(resident_id#\d+L?, resident_id#\d+L?,", planned(ranges))
+    segments = temporal.census_segments(stays, ranges.withColumn("care_level_key", F.lit(1)), "1998-01-01", "1998-12-31")
+    assert len(re.findall(r"hashpartitioning\(resident_id#\d+L?, resident_id#\d+L?,", planned(segments))) == 2
