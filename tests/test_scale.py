@@ -91,3 +91,8 @@ def test_windows_over_ranges_run_in_tasks_of_their_own(rows):
     assert re.search(r"hashpartitioning\(resident_id#\d+L?, resident_id#\d+L?,", planned(ranges))
     segments = temporal.census_segments(stays, ranges.withColumn("care_level_key", F.lit(1)), "1998-01-01", "1998-12-31")
     assert len(re.findall(r"hashpartitioning\(resident_id#\d+L?, resident_id#\d+L?,", planned(segments))) == 2
+
+
+def test_months_of_a_lease_are_not_shuffled(spark, folder):
+    plan = planned(queries.QUERIES["lease_month_rows"](spark, folder))
+    assert "Generate" in plan and "Exchange" not in plan.split("Generate")[0]
