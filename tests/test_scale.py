@@ -60,6 +60,27 @@ def test_digest_outgrows_64_bits(rows):
     assert tuple(found) == (1, 2, 5, first, first + datetime.timedelta(3), float(weighed))
 
 
+@pytest.mark.parametrize("name", ["quarantine_summary", "run_metrics", "reconcile_counts", "clean_residents_log"])
+def test_cleaners_parts_are_staged_only_if_read_twice(spark, folder, kept, name):
+    queries.QUERIES[name](spark, folder)
+    assert set(kept) <= {"shipped_orders", "raw_units", "shifts"}
+    assert ("shifts" in kept) == (name == "reconcile_counts")
+
+
+@pytest.mark.parametrize("name", ["los_by_level", "incident_rate_level", "scd2_overlap_pairs"])
+def test_facts_that_a_query_does_not_read_are_not_staged(spark, folder, kept, name):
+    queries.QUERIES[name](spark, folder)
+    assert set(kept) <= {"shipped_orders", "care_history", "ranges", "window"}
+    assert kept.count("ranges") == 1
+
+
+def test_metrics_facts_are_not_staged(spark, folder, kept):
+    s = sh.Sample(spark, folder)
+    s.sharing = True
+    queries.facts(s)
+    assert set(kept) <= {"shipped_orders", "window"}
+
+
 def test_raw_values_are_made_only_where_read(rows):
     data = rows([("a", 1), ("b", 2), ("c", None)], "k string, v int")
     findings = [quality.Finding(F.col("v") > n, f"above {n}", "none", ["k", "v"]) for n in (0, 1)]
