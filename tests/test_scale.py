@@ -81,6 +81,11 @@ def test_metrics_facts_are_not_staged(spark, folder, kept):
     assert set(kept) <= {"shipped_orders", "window"}
 
 
+def test_aggregates_start_from_residents_kept_once(spark, folder, kept):
+    queries.QUERIES["reconcile_aggregates"](spark, folder)
+    assert sorted(kept) == ["bounds", "history", "raw_units", "residents", "shifts", "shipped_orders"]
+
+
 def test_raw_values_are_made_only_where_read(rows):
     data = rows([("a", 1), ("b", 2), ("c", None)], "k string, v int")
     findings = [quality.Finding(F.col("v") > n, f"above {n}", "none", ["k", "v"]) for n in (0, 1)]
