@@ -144,8 +144,12 @@ class Model:
 
 def vector(counts: dict[int, int], term_weights: np.ndarray) -> Vector:
     """Weights of a text's terms, scaled to length one."""
-    terms = np.fromiter(counts, np.int64, len(counts))
-    weights = (1 + np.log(np.fromiter(counts.values(), float, len(counts)))) * term_weights[terms]
+    return scaled(np.fromiter(counts, np.int64, len(counts)), np.fromiter(counts.values(), float, len(counts)), term_weights)
+
+
+def scaled(terms: np.ndarray, counts: np.ndarray, term_weights: np.ndarray) -> Vector:
+    """As :func:`vector`, of the terms and how often each occurs."""
+    weights = (1 + np.log(counts.astype(float))) * term_weights[terms]
     order = np.argsort(terms)
     size = np.sqrt((weights**2).sum())
     return terms[order], weights[order] / (size or 1.0)
@@ -173,20 +177,21 @@ def examples(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str
 
 
 def counted(texts: DataFrame) -> DataFrame:
-    """One row per different text of the examples: digest, its words and how often each occurs, the least
-    id, and how many rows of each label have it."""
+    """One row per different text of the examples: digest, its words (joined by blanks) and how often each
+    occurs (32-bit numbers), the least id, and how many rows of each label have it. Words and counts are one
+    value each, as the driver holds all of them at once."""
 
     def make():
         def step(data):
             counts = [term_counts(t) for t in data.to_pylist()]
-            words = pa.array([list(c) for c in counts], pa.list_(pa.binary()))
-            return [words, pa.array([list(c.values()) for c in counts], pa.list_(pa.int64()))]
+            words = pa.array([b" ".join(c) for c in counts], pa.binary())
+            return [words, pa.array([np.fromiter(c.values(), "<u4", len(c)).tobytes() for c in counts], pa.binary())]
 
         return step
 
     single = texts.dropDuplicates(["id"]).withColumn("digest", F.sha2("text", 256))
     rows = single.groupBy("digest").agg(F.min("id").alias("id"), F.sum("y").alias("toxic"), F.count("*").alias("n"), F.first("text").alias("text"))
-    pair = [T.StructField("words", T.ArrayType(T.BinaryType())), T.StructField("counts", T.ArrayType(T.LongType()))]
+    pair = [T.StructField("words", T.BinaryType()), T.StructField("counts", T.BinaryType())]
     return append(rows, [F.col("text")], T.StructType(pair), make).drop("text")
 
 
@@ -207,8 +212,8 @@ def frequencies(docs: DataFrame, text: str, vocabulary: dict[bytes, int]) -> tup
 
     sums = map_batches(docs.select(text_bytes(quoted(text))), count, "at int, n bigint").groupBy("at").agg(F.sum("n").alias("n"))
     out = np.zeros(size + 1, np.int64)
-    for r in sums.toLocalIterator():  # at most one row per term
-        out[r["at"]] = r.n
+    found = sums.toArrow()  # at most one row per term, as two arrays
+    out[found["at"].to_numpy()] = found["n"].to_numpy()
     return out[:size], int(out[size])
 
 
@@ -230,15 +235,19 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     vote for each row. None without a toxic example or without a word in any."""
     texts, sizes = examples(docs, labels, key, text, label, F.lit(True) if wanted is None else wanted)
     rows = counted(texts).collect()  # at most twice PER_CLASS
-    vocabulary = {w: i for i, w in enumerate(sorted({bytes(w) for r in rows for w in r.words}))}
+    different: set[bytes] = set()
+    for r in rows:
+        different.update(r.words.split())
+    vocabulary = {w: i for i, w in enumerate(sorted(different))}
+    del different
     if not vocabulary or not any(r.toxic for r in rows):
         return None
     found, n = frequencies(docs, text, vocabulary)
-    counts = [{vocabulary[bytes(w)]: c for w, c in zip(r.words, r.counts)} for r in rows]
     shares = np.array([r.toxic / r.n for r in rows])
-    held = [np.fromiter(c, np.int64, len(c)) for c in counts]
+    held = [np.fromiter(map(vocabulary.__getitem__, r.words.split()), np.int64) for r in rows]
     weights = (np.log((n + 1) / (found + 1)) + 1) * (1 + ASSOCIATION * associations(held, shares, len(vocabulary)))
-    vectors = [vector(c, weights) for c in counts]
+    vectors = [scaled(t, np.frombuffer(r.counts, "<u4"), weights) for t, r in zip(held, rows)]
+    del held
     # neighbours in the index share their commonest words, which differ by language, so that blocks of other
     # languages have low bounds; ids and labels have no say in the order, as it decides ties
     commonest = [tuple(t[np.lexsort((t, -found[t]))[:3]].tolist()) for t, _ in vectors]

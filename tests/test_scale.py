@@ -122,3 +122,9 @@ def test_windows_over_ranges_run_in_tasks_of_their_own(rows):
 def test_months_of_a_lease_are_not_shuffled(spark, folder):
     plan = planned(queries.QUERIES["lease_month_rows"](spark, folder))
     assert "Generate" in plan and "Exchange" not in plan.split("Generate")[0]
+
+
+def test_words_of_examples_come_as_single_values(rows):
+    texts = rows([(1, 1, bytearray(b"B a b\x00a a")), (2, 0, bytearray(b""))], "id bigint, y int, text binary")
+    found = {r.id: (dict(zip(r.words.split(), memoryview(bytes(r.counts)).cast("I"))), len(r.words)) for r in toxicity.counted(texts).collect()}
+    assert found == {1: ({b"a": 3, b"b": 2}, 3), 2: ({}, 0)}
