@@ -124,6 +124,13 @@ def test_months_of_a_lease_are_not_shuffled(spark, folder):
     assert "Generate" in plan and "Exchange" not in plan.split("Generate")[0]
 
 
+def test_batches_come_in_portions():
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1000)), pa.array(["x" * 100] * 1000)], names=["n", "t"])
+    parts = list(common.portions(batch, 10_000))
+    assert len(parts) > 5 and [n for p in parts for n in p.column(0).to_pylist()] == list(range(1000))
+    assert list(common.portions(batch.slice(0, 0))) == [] and len(list(common.portions(batch))) == 1
+
+
 def test_words_of_examples_come_as_single_values(rows):
     texts = rows([(1, 1, bytearray(b"B a b\x00a a")), (2, 0, bytearray(b""))], "id bigint, y int, text binary")
     found = {r.id: (dict(zip(r.words.split(), memoryview(bytes(r.counts)).cast("I"))), len(r.words)) for r in toxicity.counted(texts).collect()}
