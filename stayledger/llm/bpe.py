@@ -14,7 +14,8 @@ A token is emitted once all living threads descend from it. A thread lives for t
 token at most, so the lookahead is bounded by the vocabulary, not by the text.
 
 Texts are cut into pieces by the vocabulary's pattern first, as ranks hold within a piece. A piece that is
-itself in the vocabulary is that token, also if no merges lead to it.
+itself in the vocabulary is that token, also if no merges lead to it. Short pieces that are not remembered
+run through the transducer side by side, a byte of each at a time, in numpy; long ones run alone.
 
 Decoding. The decoder's states are the unfinished UTF-8 sequences; a token moves it from one to another
 and emits the characters it completes, so a stream of ids can be shown as it comes.
@@ -46,6 +47,8 @@ STATES, PAIRS, STEPS = 50_000, 400_000, 200_000
 PIECES, LONGEST = 150_000, 32
 #: Bytes of a long piece after which agreed tokens are emitted.
 LOOK = 4096
+#: Pieces that run through the transducer side by side.
+ABREAST = 8192
 #: A character that is neither letter, digit nor white space (private use).
 OTHER = "\ue000"
 
@@ -199,6 +202,130 @@ class Transducer:
         return list(chain.from_iterable(self.stream(piece)))
 
 
+class Lockstep:
+    """A transducer run over many short pieces side by side: its states have numbers, the steps between
+    them are a table that is filled when a byte first asks for one, and judged pairs lie in a hash table."""
+
+    def __init__(self, transducer: Transducer) -> None:
+        self.transducer = transducer
+        self.base = max(transducer.words) + 1
+        self.lengths = np.zeros(self.base, np.int64)
+        for number, word in transducer.words.items():
+            self.lengths[number] = len(word)
+        self.reset()
+
+    def reset(self) -> None:
+        self.numbers: dict[tuple[int, ...], int] = {}
+        self.states: list[dict] = []
+        self.next = np.empty((0, 256), np.int32)
+        #: Where a state's candidates begin; their tokens and lengths, the longest first.
+        self.first, self.tokens, self.backs = np.empty(0, np.int64), np.empty(0, np.int32), np.empty(0, np.int32)
+        self.number(self.transducer.state((0,)))
+        self.tables()
+        self.judged, size = 0, 1 << (2 * PAIRS).bit_length()
+        self.codes, self.fit = np.full(size, -1, np.int64), np.zeros(size, bool)  # judged pairs
+
+    def number(self, state: dict) -> int:
+        found = self.numbers.setdefault(state[_PLACES], len(self.states))
+        if found == len(self.states):
+            self.states.append(state)
+        return found
+
+    def tables(self) -> None:
+        """The arrays for states that were added."""
+        if len(self.states) > len(self.next):
+            more = np.full((len(self.states) - len(self.next) + 1024, 256), -1, np.int32)
+            self.next = np.concatenate([self.next, more])
+        added = [state[_ENDS] for state in self.states[len(self.first) :]]
+        starts = np.cumsum([len(self.tokens), *map(len, added)])[:-1]
+        pairs = np.array([pair for ends in added for pair in ends], np.int32).reshape(-1, 2)
+        self.first = np.concatenate([self.first, starts])
+        self.tokens, self.backs = np.concatenate([self.tokens, pairs[:, 0]]), np.concatenate([self.backs, pairs[:, 1]])
+
+    def moved(self, states: np.ndarray, data: np.ndarray) -> np.ndarray:
+        """The states after one more byte each."""
+        found = self.next[states, data]
+        new = np.flatnonzero(found < 0)
+        if len(new):
+            for code in np.unique(states[new].astype(np.int64) << 8 | data[new]).tolist():
+                self.next[code >> 8, code & 255] = self.number(self.transducer.step(self.states[code >> 8], code & 255))
+            self.tables()
+            found[new] = self.next[states[new], data[new]]
+        return found
+
+    def slots(self, codes: np.ndarray) -> np.ndarray:
+        """Where each pair lies, or the free place where it belongs."""
+        last = len(self.codes) - 1
+        slots = (codes * 0x9E3779B97F4A7C1 >> 20) & last
+        rows = np.arange(len(codes))
+        while len(rows):
+            held = self.codes[slots[rows]]
+            rows = rows[(held != codes[rows]) & (held >= 0)]
+            slots[rows] = slots[rows] + 1 & last
+        return slots
+
+    def fits(self, lasts: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+        """Whether each token can follow the one before it."""
+        codes = (lasts.astype(np.int64) - _START) * self.base + tokens
+        slots = self.slots(codes)
+        new = self.codes[slots] < 0
+        if new.any():
+            asked = np.unique(codes[new])
+            if self.judged + len(asked) > PAIRS:
+                self.codes[:], self.judged = -1, 0
+                return self.plainly(codes)
+            self.judged += len(asked)
+            left = asked
+            while len(left):  # of two for one place the other looks on
+                places = self.slots(left)
+                self.codes[places] = left
+                left = left[self.codes[places] != left]
+            self.fit[self.slots(asked)] = self.plainly(asked)
+            slots = self.slots(codes)
+        return self.fit[slots]
+
+    def plainly(self, codes: np.ndarray) -> np.ndarray:
+        """As :meth:`fits`, not remembered."""
+        fit, base = self.transducer.fit, self.base
+        return np.fromiter((fit(c // base + _START, c % base) for c in codes.tolist()), bool, len(codes))
+
+    def encode(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of each piece as 32-bit numbers. No piece is empty."""
+        if len(self.states) >= STATES // 4:  # a state's row in the table is larger than the state
+            self.reset()
+        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        order = np.argsort(-sizes, kind="stable")  # so those that go on are the first ones
+        sizes = sizes[order]
+        width = int(sizes[0])
+        data = np.zeros((len(pieces), width), np.uint8)
+        data[np.arange(width) < sizes[:, None]] = np.frombuffer(b"".join([pieces[i] for i in order.tolist()]), np.uint8)
+        ended = np.full((len(pieces), width + 1), _START, np.int32)
+        states = np.zeros(len(pieces), np.int32)
+        for j, going in enumerate(np.searchsorted(-sizes, -np.arange(width)).tolist()):
+            states = self.moved(states[:going], data[:going, j])
+            rows, at = np.arange(going), self.first[states]
+            while len(rows):
+                tokens, backs = self.tokens[at], self.backs[at]
+                fit = backs == 1  # one of them fits, so the last needs no look
+                asked = np.flatnonzero(~fit)
+                fit[asked] = self.fits(ended[rows[asked], j + 1 - backs[asked]], tokens[asked])
+                ended[rows[fit], j + 1] = tokens[fit]
+                rows, at = rows[~fit], at[~fit] + 1
+        # from each piece's end back to its beginning, written from the right
+        out, free = np.zeros((len(pieces), width), np.int32), np.full(len(pieces), width)
+        rows, ends = np.arange(len(pieces)), sizes
+        while len(rows):
+            tokens = ended[rows, ends]
+            free[rows] -= 1
+            out[rows, free[rows]] = tokens
+            ends = ends - self.lengths[tokens]
+            rows, ends = rows[ends > 0], ends[ends > 0]
+        ids, found = out.tobytes(), [b""] * len(pieces)
+        for row, (i, begin) in enumerate(zip(order.tolist(), free.tolist())):
+            found[i] = ids[4 * (row * width + begin) : 4 * (row + 1) * width]
+        return found
+
+
 def stretches(text: str) -> Iterator[str]:
     """Parts of a long text, cut where white space follows a character that is none: no piece reaches
     over such a place."""
@@ -221,6 +348,7 @@ class Encoder:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str, others: str = "") -> None:
         self.transducer = Transducer(ranks)
+        self.lockstep = Lockstep(self.transducer)
         self.pattern = regex.compile(pattern)
         self.others = dict.fromkeys(map(ord, others), OTHER)
         self.unsure = frozenset(others)
@@ -238,24 +366,62 @@ class Encoder:
     def stream(self, text: str) -> Iterator[bytes]:
         """The ids of a text as 32-bit numbers, stretch by stretch."""
         for part in stretches(text):
-            pieces = list(self.pieces(part))
-            found: list[bytes | None] = list(map(self.recent.get, pieces))
-            if None in found:
-                found = [self.ids(piece) if ids is None else ids for piece, ids in zip(pieces, found)]
+            yield from self.filled([self.looked(part)])
+
+    def encode(self, texts: Iterable[str]) -> Iterator[bytes]:
+        """The ids of each text; pieces that are not remembered are encoded together, for some texts at
+        once."""
+        waiting, missing, length = [], 0, 0
+        for text in texts:
+            if missing >= ABREAST or length + len(text) > STRETCH:
+                yield from self.filled(waiting)
+                waiting, missing, length = [], 0, 0
+            if len(text) > STRETCH:
+                yield b"".join(self.stream(text))
+            else:
+                waiting.append(self.looked(text))
+                missing += len(waiting[-1][1])
+                length += len(text)
+        yield from self.filled(waiting)
+
+    def looked(self, text: str) -> tuple[list[bytes | None], list[tuple[int, str]]]:
+        """The ids of a text's pieces, as far as they are among the recent ones, and the other pieces with
+        their places."""
+        pieces = list(self.pieces(text))
+        found = list(map(self.recent.get, pieces))
+        return found, [(i, pieces[i]) for i, ids in enumerate(found) if ids is None] if None in found else []
+
+    def filled(self, waiting: list[tuple[list[bytes | None], list[tuple[int, str]]]]) -> Iterator[bytes]:
+        """The ids of texts that were looked up, with those of their other pieces."""
+        new = self.learnt(piece for _, others in waiting for _, piece in others)
+        for found, others in waiting:
+            for i, piece in others:
+                found[i] = new[piece]
             yield b"".join(found)
 
-    def ids(self, piece: str) -> bytes:
-        """The ids of a piece that was not among the recent ones."""
-        ids = self.recent.get(piece) or self.older.get(piece)
-        if ids is None:
-            data = piece.encode()
-            whole = self.transducer.ranks.get(data)
-            ids = array("i", self.transducer.encode(data) if whole is None else [whole]).tobytes()
-        if len(piece) <= LONGEST:
-            if len(self.recent) >= PIECES:
-                self.older, self.recent = self.recent, {}
-            self.recent[piece] = ids
-        return ids
+    def learnt(self, pieces: Iterable[str]) -> dict[str, bytes]:
+        """The ids of pieces that were not among the recent ones."""
+        found = dict.fromkeys(pieces, b"")
+        short = []
+        for piece in found:
+            ids = self.older.get(piece)
+            if ids is None:
+                data = piece.encode()
+                whole = self.transducer.ranks.get(data)
+                if whole is None and len(piece) <= LONGEST:
+                    short.append((piece, data))
+                    continue
+                ids = array("i", self.transducer.encode(data) if whole is None else [whole]).tobytes()
+            found[piece] = ids
+        for start in range(0, len(short), ABREAST):
+            part = short[start : start + ABREAST]
+            found.update(zip([piece for piece, _ in part], self.lockstep.encode([data for _, data in part])))
+        for piece, ids in found.items():
+            if len(piece) <= LONGEST:
+                if len(self.recent) >= PIECES:
+                    self.older, self.recent = self.recent, {}
+                self.recent[piece] = ids
+        return found
 
 
 class Decoder:
@@ -359,7 +525,7 @@ def encode(docs: DataFrame, ranks: str, pattern: str, text: str = "text", ids: s
         own = encoder(ranks, pattern, others)
 
         def step(texts: pa.Array):
-            found = [b"".join(own.stream(t.decode("utf-8", "replace"))) for t in texts.to_pylist()]
+            found = list(own.encode(t.decode("utf-8", "replace") for t in texts.to_pylist()))
             ends = np.cumsum([0, *(len(ids) // 4 for ids in found)], dtype=np.int32)
             return [pa.ListArray.from_arrays(ends, np.frombuffer(b"".join(found), np.int32))]
 
@@ -385,5 +551,7 @@ def decode(frame: DataFrame, ranks: str, ids: str = "ids", text: str = "decoded"
 
         return step
 
-    some = F.array_compact(F.coalesce(quoted(ids), F.array().cast("array<int>")))
+    some = F.coalesce(quoted(ids), F.array().cast("array<int>"))
+    if frame.select(quoted(ids)).schema[0].dataType.containsNull:
+        some = F.array_compact(some)
     return append(frame, [some], T.StructType([T.StructField(text, T.StringType(), False)]), make)

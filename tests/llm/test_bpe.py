@@ -90,6 +90,27 @@ def test_forgetting_doesn_t_change_ids(monkeypatch):
     assert ids_of(own, text) == LIBRARY.encode_ordinary(text)
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.one_of(st.text(ANY, max_size=40), st.text("etaoinsrhl .\n1", max_size=80)), max_size=30))
+def test_texts_together(texts):
+    own = bpe.Encoder(RANKS, public.PATTERN, bpe.newer_characters(public.PATTERN)) if len(texts) == 1 else OWN
+    found = [array("i", ids).tolist() for ids in own.encode(iter(texts))]
+    assert found == [LIBRARY.encode_ordinary(t) for t in texts]
+
+
+@pytest.mark.parametrize("stretch, abreast, states, pairs", [(1 << 20, 8192, 50_000, 400_000), (60, 8192, 50_000, 400_000), (1 << 20, 2, 5, 3)])
+def test_short_pieces_run_side_by_side(monkeypatch, stretch, abreast, states, pairs):
+    for name, value in (("STRETCH", stretch), ("ABREAST", abreast), ("STATES", states), ("PAIRS", pairs)):
+        monkeypatch.setattr(bpe, name, value)
+    own, alone = bpe.Encoder(RANKS, public.PATTERN), []
+    plain = own.transducer.stream
+    monkeypatch.setattr(own.transducer, "stream", lambda piece: alone.append(piece) or plain(piece))
+    texts = ["", "Unwritten gammas, thorreou ndernt", "nterti" * 30, "éèêxyz wörtlichkeiten", "thorreou " * 30, ""] * 2
+    found = [array("i", ids).tolist() for ids in own.encode(texts)]
+    assert found == [LIBRARY.encode_ordinary(t) for t in texts]
+    assert set(alone) == {b"nterti" * 30}
+
+
 def test_decoder_waits_for_whole_characters():
     decoder = bpe.Decoder({b: bytes([b]) for b in range(256)})
     assert [decoder.feed([b]) for b in "é€".encode()] == ["", "é", "", "", "€"]
