@@ -29,7 +29,7 @@ from .common import WORD_TABLE, append, fold, map_batches, quoted, slices, text_
 PER_CLASS = 1500
 #: What a term's tie to the label adds to its weight, and how many standard errors are taken off it.
 ASSOCIATION, CAUTION = 10.0, 2.0
-BLOCK, NEIGHBOURS, EVIDENCE = 512, 15, 3
+BLOCK, NEIGHBOURS, EVIDENCE = 1024, 15, 3
 #: Terms in at least this share of a block's examples lie there as full rows, the others as postings.
 FULL_FROM = 1 / 16
 #: Weight, in votes, of the share of toxic rows among all labelled ones.
@@ -48,8 +48,10 @@ def term_counts(text: bytes) -> Counter[bytes]:
 
 def known_counts(text: bytes, vocabulary: dict[bytes, int]) -> dict[int, int]:
     """term_counts for the vocabulary's words, by their numbers."""
-    get = vocabulary.get
-    return {t: n for word, n in term_counts(text).items() if (t := get(word)) is not None}
+    counts = term_counts(text)
+    found = dict(zip(map(vocabulary.get, counts), counts.values()))
+    found.pop(None, None)
+    return found
 
 
 @dataclass
@@ -104,11 +106,12 @@ class Index:
             if bounds[b] <= 0 or (len(best) == k and bounds[b] < best[-1] - 1e-12):
                 break
             scores = self.cosines(b, terms, weights)
-            rows = np.flatnonzero(scores)
+            if 0 <= without - b * BLOCK < BLOCK:
+                scores[without - b * BLOCK] = 0
+            # only those that can be among the k nearest are put in order
+            least = max(best[-1] if len(best) == k else 0.0, np.partition(scores, -k)[-k] if k <= BLOCK else 0.0)
+            rows = np.flatnonzero(scores >= least if least > 0 else scores)
             rows, scores = rows + b * BLOCK, scores[rows]
-            if without >= 0:
-                keep = rows != without
-                rows, scores = rows[keep], scores[keep]
             rows, scores = np.concatenate([best_rows, rows]), np.concatenate([best, scores])
             order = np.lexsort((rows, -scores))[:k]
             best_rows, best = rows[order], scores[order]
@@ -137,9 +140,15 @@ class Model:
         return float(1 / (1 + np.exp(-z)))
 
     def score(self, text: bytes) -> tuple[float, list[int], list[float]]:
-        rows, cosines = self.index.nearest(*self.vector(known_counts(text, self.vocabulary)), NEIGHBOURS)
-        near = rows[:EVIDENCE]
-        return self.calibrated(self.vote(rows, cosines)), [self.index.ids[i] for i in near], [float(c) for c in cosines[:EVIDENCE]]
+        return self.scores([text])[0]
+
+    def scores(self, texts: list[bytes]) -> list[tuple[float, list[int], list[float]]]:
+        """Score, nearest examples and their cosines of each text; all words are looked up before the first
+        block is visited, as vocabulary and blocks would drive each other out of the processor's cache."""
+        vectors = [self.vector(known_counts(text, self.vocabulary)) for text in texts]
+        found = [self.index.nearest(*v, NEIGHBOURS) for v in vectors]
+        ids = self.index.ids
+        return [(self.calibrated(self.vote(rows, cosines)), [ids[i] for i in rows[:EVIDENCE].tolist()], cosines[:EVIDENCE].tolist()) for rows, cosines in found]
 
 
 def vector(counts: dict[int, int], term_weights: np.ndarray) -> Vector:
@@ -299,7 +308,7 @@ def score(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame
         nothing = (0.0, [], []) if known is None else known.score(b"")
 
         def step(texts):
-            found = [nothing if known is None else known.score(t) for t in texts.to_pylist()]
+            found = [nothing] * len(texts) if known is None else known.scores(texts.to_pylist())
             kinds = (pa.float64(), pa.list_(pa.int64()), pa.list_(pa.float64()))
             return [pa.array([f[i] for f in found], kind) for i, kind in enumerate(kinds)]
 

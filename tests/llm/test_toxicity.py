@@ -34,6 +34,20 @@ def test_nearest_are_exact():
                 assert np.allclose(cosines[rows], cosines[order])
 
 
+def test_only_possible_neighbours_are_put_in_order(monkeypatch):
+    rng = np.random.default_rng(2)
+    weights = rng.random((3000, 2)) + 0.1
+    weights /= np.linalg.norm(weights, axis=1, keepdims=True)
+    index = toxicity.Index(list(range(3000)), np.zeros(3000), np.ones(3000), [(np.arange(2), w) for w in weights], 2)
+    plain, sizes = np.lexsort, []
+    monkeypatch.setattr(toxicity.np, "lexsort", lambda keys: sizes.append(len(keys[0])) or plain(keys))
+    rows, cosines = index.nearest(np.arange(2), np.array([0.6, 0.8]), 15)
+    monkeypatch.undo()
+    expected = weights @ [0.6, 0.8]
+    assert max(sizes) <= 2 * 15 and np.allclose(cosines, np.sort(expected)[::-1][:15])
+    assert np.allclose(expected[rows], cosines)
+
+
 def test_terms():
     text = b"Idiots IDIOTS \xc3\xa9t\xc3\xa9 a-b"
     counts = toxicity.term_counts(text)
