@@ -5,6 +5,7 @@ import datetime as dt
 import json
 import math
 import random
+from decimal import Decimal
 
 from pyspark.sql import functions as F
 
@@ -136,3 +137,32 @@ def test_raw_json(rows):
 def test_snapshot_month(rows):
     names = ["pcc_residents_2025_03.csv", "pcc_residents.csv", "x_2025_13.csv"]
     assert results(rows, names, snapshot_month) == [dt.date(2025, 3, 1), None, None]
+
+
+def test_snapshot_month_of_odd_names(rows):
+    names = ["x_2025_00.csv", "x_2025_12.csv.gz", "x2025_12.csv", "x_2025-12.csv", "", None, "a_2020_01.csv_2021_02.csv"]
+    assert results(rows, names, snapshot_month) == [None, dt.date(2025, 12, 1), None, None, None, None, dt.date(2020, 1, 1)]
+
+
+def test_parse_date_of_odd_texts(rows):
+    texts = ["1/2/0000", "0000-01-02", "1/2/2025\n", "\n1/2/2025", "2025-01-01 1/2", "1/2/2025 2025-01-01", "1/2/20255", "/", "--", "2025-01",
+             "1//2025", "x\n1/2/2025", "2/29/2024", "2/29/2023", "0001-1-1", "1/1/0001"]
+    assert results(rows, texts, parse_date) == [
+        None, None, dt.date(2025, 1, 2), dt.date(2025, 1, 2), *[None] * 8, dt.date(2024, 2, 29), None, dt.date(1, 1, 1), dt.date(1, 1, 1),
+    ]
+
+
+def test_spellings_with_whitespace_around_them(rows):
+    texts = [" al　", "memory\t", "memory  care", "\x1cMC\x85", " ", "iL"]
+    assert results(rows, texts, lambda c: canonical(c, model.CARE_LEVELS)) == ["AL", "MC", None, "MC", None, "IL"]
+
+
+def test_decimals_are_the_rounded_units(rows):
+    rng = random.Random(5)
+    values = [None, math.nan, -math.inf, -0.0, 0.005, -0.005, 99999999.994, 99999999.995, -99999999.995, 9999999999999.99, 2.0**53, 2.0**53 / 100, 1e300]
+    values += [rng.choice([-1, 1]) * (rng.randrange(10 ** rng.randint(1, 15)) + 0.5) / 100 for _ in range(300)]
+    for precision in (10, 15, 18):
+        rounded = results(rows, values, lambda c: sql_round(c, 2), "double")
+        fits = [v is not None and abs(v) < 10 ** (precision - 2) for v in rounded]
+        wanted = [Decimal(repr(v)).quantize(Decimal("0.01")) if ok else None for v, ok in zip(rounded, fits)]
+        assert results(rows, values, lambda c: to_decimal(c, precision, 2), "double") == wanted

@@ -9,6 +9,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from stayledger.functions import sql_round, to_decimal, to_number
 from stayledger.llm import common, toxicity
 from stayledger.operators import keys, quality, temporal
 from stayledger.workload import queries
@@ -135,3 +136,27 @@ def test_words_of_examples_come_as_single_values(rows):
     texts = rows([(1, 1, bytearray(b"B a b\x00a a")), (2, 0, bytearray(b""))], "id bigint, y int, text binary")
     found = {r.id: (dict(zip(r.words.split(), memoryview(bytes(r.counts)).cast("I"))), len(r.words)) for r in toxicity.counted(texts).collect()}
     assert found == {1: ({b"a": 3, b"b": 2}, 3), 2: ({}, 0)}
+
+
+def test_values_of_a_row_are_read_once(spark, folder):
+    s = sh.Sample(spark, folder)
+    for table in ("pcc_incidents", "adp_shifts", "yardi_leases", "pcc_residents"):
+        filters = re.findall(r"Filter .*", optimized(queries.cleaned(s, table).rows))
+        assert filters and not [f for f in filters if "regexp" in f]
+    data = spark.createDataFrame([("1",), ("7",), ("x",), (None,)], "t string")
+    found = quality.once_per_row(data, n=to_number(F.col("t"))).filter("n > 1 or n is null")
+    assert found.columns == ["t", "n"] and sorted(map(tuple, found.collect()), key=str) == [("7", 7.0), ("x", None), (None, None)]
+    assert quality.once_per_row(data.limit(0), n=F.col("t")).collect() == []
+
+
+def test_rounding_stays_short(rows):
+    twice = rows([], "v double").select(to_decimal(sql_round(F.col("v"), 2), 12, 2).alias("d"))
+    assert len(re.findall(r"\bv#\d+", optimized(twice))) <= 25
+
+
+def test_reconciled_residents_hold_what_is_read(spark, folder, monkeypatch):
+    columns = {}
+    monkeypatch.setattr(sh, "staged", lambda df, name: columns.update({name: df.columns}) or df)
+    found = queries.QUERIES["reconcile_aggregates"](spark, folder).collect()
+    assert columns["residents"] == ["resident_id", "community_id", "admit_date", "discharge_date", "care_level"]
+    assert len(found) == 7
